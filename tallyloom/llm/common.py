@@ -6,6 +6,7 @@ import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,7 +44,7 @@ def text_slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int
     for batch in batches:
         if not batch.num_rows:
             continue
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         begin, total = 0, 0
         for i, n in enumerate(sizes):
             if i > begin and total + n > most_bytes:
