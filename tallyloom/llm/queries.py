@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.llm.chat_format import op3_chat_formatting
+from tallyloom.llm.language_id import op7_language_id
 from tallyloom.llm.token_files import op5_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat_formatting": op3_chat_formatting,
     "op5_token_files": op5_token_files,
+    "op7_language_id": op7_language_id,
 }
 
 SQL: dict[str, str] = {}
