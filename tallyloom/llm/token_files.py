@@ -12,6 +12,7 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +24,8 @@ from tallyloom.llm.wordhash import find_words
 
 END_ID = 1
 #: Distinct words whose ids a Python worker keeps between batches.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 2_000_000
+ENCODED_AT_ONCE = 10_000
 FILE_COLUMNS = "doc_id bigint, part int, local_start bigint, n_tokens bigint, ids array<int>"
 
 
@@ -31,6 +33,8 @@ class WordEncoder:
     """Whole texts through a tokenizer whose pieces never span ASCII white space: each distinct word is encoded once.
 
     That holds for a tokenizer that drops white space and splits at it before merging; for others, use whole=True.
+    Ids of up to CACHED_WORDS words stay for later batches, as arrays sorted by the words' hashes; words beyond that are
+    encoded anew in each batch.
     """
 
     def __init__(self, vocabulary: str, whole: bool = False):
@@ -40,39 +44,46 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.whole = Tokenizer.from_file(vocabulary), whole
-        self.known: dict[int, int] = {}
-        self.ids = np.zeros(0, np.int32)
-        self.starts = np.zeros(1, np.int64)
+        self.known, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.ids, self.starts = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their bounds, a few texts at a time: an encoding object is far larger than its ids."""
+        ids, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for k in range(0, len(texts), ENCODED_AT_ONCE):
+            got = [x.ids for x in self.tokenizer.encode_batch(texts[k : k + ENCODED_AT_ONCE], add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, got), np.int64, len(got)))
+            ids.append(np.fromiter(chain.from_iterable(got), np.int32, int(sizes[-1].sum())))
+        return np.concatenate(ids), np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, and the offsets of each text's ids."""
+        """All ids, and the bounds of each text's ids."""
         if self.whole:
-            got = [x.ids for x in self.tokenizer.encode_batch([x or "" for x in texts.to_pylist()], add_special_tokens=False)]
-            return np.array([i for x in got for i in x], np.int32), np.concatenate(([0], np.cumsum([len(x) for x in got], dtype=np.int64)))
+            return self._plain([x or "" for x in texts.to_pylist()])
         words = find_words(texts)
         distinct, seen, which = np.unique(words.hash, return_index=True, return_inverse=True)
-        place = np.array([self.known.get(h, -1) for h in distinct.tolist()], np.int64)
+        slot = np.searchsorted(self.known, distinct)
+        old = slot < len(self.known)
+        old[old] = self.known[slot[old]] == distinct[old]
+        place = np.empty(len(distinct), np.int64)
+        place[old] = self.place[slot[old]]
         ids, starts = self.ids, self.starts
-        if len(new := np.flatnonzero(place < 0)):
+        if len(new := np.flatnonzero(~old)):
             raw, at = words.bytes.tobytes(), seen[new]
-            spelled = [raw[a:b].decode() for a, b in zip(words.start[at].tolist(), words.end[at].tolist(), strict=True)]
-            got = [x.ids for x in self.tokenizer.encode_batch(spelled, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, got), np.int64, len(got))
-            fresh = np.fromiter((i for x in got for i in x), np.int32, int(sizes.sum()))
+            fresh, bounds = self._plain([raw[a:b].decode() for a, b in zip(words.start[at].tolist(), words.end[at].tolist(), strict=True)])
             place[new] = len(starts) - 1 + np.arange(len(new))
-            room = max(0, CACHED_WORDS - len(self.known))
-            ids, starts = np.concatenate((ids, fresh)), np.concatenate((starts, starts[-1] + np.cumsum(sizes)))
-            if room:
+            ids, starts = np.concatenate((ids, fresh)), np.concatenate((starts, starts[-1] + bounds[1:]))
+            if (room := CACHED_WORDS - len(self.known)) > 0:
                 kept = new[:room]
-                self.known.update(zip(distinct[kept].tolist(), place[kept].tolist(), strict=True))
-                self.starts = starts[: int(place[kept[-1]]) + 2]
-                self.ids = ids[: self.starts[-1]]
+                self.known = np.insert(self.known, slot[kept], distinct[kept])
+                self.place = np.insert(self.place, slot[kept], place[kept])
+                self.starts = starts[: int(place[kept[-1]]) + 2].copy()
+                self.ids = ids[: self.starts[-1]].copy()
         each = place[which]
         size = (starts[1:] - starts[:-1])[each]
         ends = np.cumsum(size)
         flat = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts[each] - ends + size, size)
-        bounds = np.concatenate(([0], ends))[words.first]
-        return ids[flat], bounds
+        return ids[flat], np.concatenate(([0], ends))[words.first]
 
 
 _encoders: dict[tuple, WordEncoder] = {}
