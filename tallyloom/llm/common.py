@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -39,7 +39,12 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_SPLIT), lambda w: w != "")
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of value, with value computed once a row, however often body's lambdas ask for it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def text_slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batches, cut where the texts of a slice would exceed most_bytes; a longer text stands alone."""
     for batch in batches:
         if not batch.num_rows:

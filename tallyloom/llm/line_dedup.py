@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import table
+from tallyloom.llm.common import let, table
 
 MIN_LINES = 3
 _WORD = "[^\\x20\\x09-\\x0D]"
@@ -39,11 +39,27 @@ def _winnowed(hashes: Column, n: int) -> Column:
     return F.when(F.size(hashes) >= n, F.transform(F.sequence(F.lit(0), F.size(hashes) - n), of)).otherwise(F.array())
 
 
+def _cut(lines: Column, begins: Column, n: int) -> Column:
+    """struct(kept, n_cut): the lines without those in the runs of n full lines that begin at begins."""
+    full = F.filter(F.transform(lines, lambda x, i: F.when(x.rlike(_WORD), i)), lambda i: i.isNotNull())
+
+    def with_places(full):
+        places = F.flatten(F.transform(begins, lambda b: F.slice(full, b + 1, n)))
+
+        def with_gone(gone):
+            stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+            return F.struct(F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n").alias("kept"), F.size(gone).alias("n_cut"))
+
+        return let(F.array_distinct(places), with_gone)
+
+    return let(full, with_places)
+
+
 def later_runs(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     """doc_key, text_key and begin (0-based, blank lines left out) of each run of min_lines lines that an earlier place has too."""
     lines = F.filter(F.split(F.col("text"), "\n"), lambda x: x.rlike(_WORD))
     hashed = docs.filter(F.col("text").isNotNull()).select(*_keys(), F.transform(lines, lambda x: F.xxhash64(x)).alias("hashes"))
-    runs = hashed.filter(F.size("hashes") >= min_lines).select("doc_key", "text_key", F.explode(_winnowed(F.col("hashes"), min_lines)).alias("r"))
+    runs = hashed.filter(F.size("hashes") >= min_lines).select("doc_key", "text_key", F.explode(let(F.col("hashes"), lambda h: _winnowed(h, min_lines))).alias("r"))
     runs = runs.select("doc_key", "text_key", "r.*")
     places = runs.groupBy("print").agg(F.min(F.struct("doc_key", "text_key", "mark")).alias("low"), F.max(F.struct("doc_key", "text_key", "mark")).alias("high"))
     shared = places.filter(F.col("low") != F.col("high")).select("print")
@@ -61,19 +77,13 @@ def drop_later_runs(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     gone = later_runs(docs, min_lines).groupBy("doc_key", "text_key").agg(F.collect_list("begin").alias("_begins"))
     keyed = docs.withColumns(dict(zip(("_doc_key", "_text_key"), _keys(), strict=True)))
     joined = keyed.join(gone, (F.col("_doc_key") == F.col("doc_key")) & (F.col("_text_key") == F.col("text_key")), "left")
-    lines = F.split(F.col("text"), "\n")
-    # places of lines with words among all lines; those covered by a later run are cut
-    full = F.filter(F.transform(F.col("_lines"), lambda x, i: F.when(x.rlike(_WORD), i)), lambda i: i.isNotNull())
-    covered = F.array_distinct(F.flatten(F.transform(F.col("_begins"), lambda b: F.transform(F.sequence(F.lit(0), F.lit(min_lines - 1)), lambda k: F.get(F.col("_full"), b + k)))))
-    every = F.sequence(F.lit(0), F.size("_lines") - 1)
-    cut = joined.withColumn("_lines", F.when(F.col("_begins").isNotNull(), lines)).withColumn("_full", full).withColumn("_cut", covered)
-    kept = F.array_join(F.transform(F.array_except(every, F.col("_cut")), lambda i: F.get(F.col("_lines"), i)), "\n")
-    out = cut.withColumns({
-        "kept_text": F.when(F.col("_begins").isNotNull(), kept).otherwise(F.col("text")),
+    cut = let(F.split(F.col("text"), "\n"), lambda lines: _cut(lines, F.col("_begins"), min_lines))
+    out = joined.withColumn("_result", F.when(F.col("_begins").isNotNull(), cut)).withColumns({
+        "kept_text": F.when(F.col("_begins").isNotNull(), F.col("_result.kept")).otherwise(F.col("text")),
         "n_lines": F.when(F.coalesce(F.col("text"), F.lit("")) == "", 0).otherwise(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("bigint"),
-        "n_removed": F.when(F.col("_begins").isNotNull(), F.size("_cut")).otherwise(0).cast("bigint"),
+        "n_removed": F.coalesce(F.col("_result.n_cut"), F.lit(0)).cast("bigint"),
     })
-    return out.drop("_doc_key", "_text_key", "doc_key", "text_key", "_begins", "_lines", "_full", "_cut")
+    return out.drop("_doc_key", "_text_key", "doc_key", "text_key", "_begins", "_result")
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.llm.chat_format import op3_chat_formatting
+from tallyloom.llm.decontamination import op1_decontamination
 from tallyloom.llm.language_id import op7_language_id
+from tallyloom.llm.line_dedup import OP8_SQL, op8_line_dedup
 from tallyloom.llm.token_files import op5_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_decontamination": op1_decontamination,
     "op3_chat_formatting": op3_chat_formatting,
     "op5_token_files": op5_token_files,
     "op7_language_id": op7_language_id,
+    "op8_line_dedup": op8_line_dedup,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op8_line_dedup": OP8_SQL}
