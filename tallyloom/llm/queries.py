@@ -11,11 +11,13 @@ from tallyloom.llm.decontamination import op1_decontamination
 from tallyloom.llm.language_id import op7_language_id
 from tallyloom.llm.line_dedup import OP8_SQL, op8_line_dedup
 from tallyloom.llm.near_dedup import op10_near_dedup
+from tallyloom.llm.quality_rules import op2_quality_rules
 from tallyloom.llm.token_files import op5_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op10_near_dedup": op10_near_dedup,
+    "op2_quality_rules": op2_quality_rules,
     "op3_chat_formatting": op3_chat_formatting,
     "op5_token_files": op5_token_files,
     "op7_language_id": op7_language_id,
