@@ -9,6 +9,7 @@ A null or empty text has the end id alone; an empty table gives files without ro
 
 from __future__ import annotations
 
+import json
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -20,21 +21,75 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import ensure_checkpoint_dir, table, text_slices
-from tallyloom.llm.wordhash import find_words
+from tallyloom.llm.wordhash import bytes_of, hash_spans
 
 END_ID = 1
 #: Distinct words whose ids a Python worker keeps between batches.
 CACHED_WORDS = 2_000_000
-ENCODED_AT_ONCE = 10_000
 FILE_COLUMNS = "doc_id bigint, part int, local_start bigint, n_tokens bigint, ids array<int>"
 
 
+#: The normalizer and splitter (as in the tokenizer's file) for which pieces can be cut on bytes.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLITTER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+# Classes of bytes: 0 white space, 1 letter, 2 digit, 3 other ASCII.
+_CLASS = np.full(256, 3, np.uint8)
+_CLASS[[9, 10, 11, 12, 13, 32]] = 0
+_CLASS[65:91] = _CLASS[97:123] = _CLASS[128:] = 1
+_CLASS[48:58] = 2
+
+
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 stands for itself, other bytes for the letters from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+def cut_pieces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """bytes (with lower-case letters), original bytes, start and end of the pieces, whether a piece is a whole odd word, and the bounds of each text's pieces.
+
+    A piece is a run of letters, one digit, or a run of other characters, as the splitter has it. That is plain for words of ASCII and of
+    the letters U+00C0 to U+00FF; words with other characters, an apostrophe or ``<|`` are odd and left whole for the tokenizer.
+    """
+    raw, offsets = bytes_of(texts)
+    kind = _CLASS[raw]
+    before = np.concatenate(([np.uint8(0)], raw))[:-1]
+    cut = np.zeros(len(raw) + 1, bool)
+    cut[offsets] = True
+    accented = (before == 0xC3) & ~cut[:-1] & (raw >= 0x80) & (raw < 0xC0) & (raw != 0x97) & (raw != 0xB7)
+    after = np.concatenate((accented[1:], [False])) if len(raw) else accented
+    odd = ((raw >= 0x80) & ~accented & ~((raw == 0xC3) & after)) | (raw == 0x27) | ((raw == 0x7C) & (before == 0x3C))
+    inside = kind > 0
+    kind_before = np.concatenate(([np.uint8(0)], kind))[:-1]
+    word_start = inside & ((kind_before == 0) | cut[:-1])
+    word = np.cumsum(word_start) - 1
+    is_odd = np.zeros(int(word[-1]) + 1 if len(word) else 0, bool)
+    is_odd[word[odd & inside]] = True
+    in_odd = inside & is_odd[np.maximum(word, 0)] if len(is_odd) else np.zeros(len(raw), bool)
+    start_here = word_start | (inside & ~in_odd & ((kind != kind_before) | (kind == 2)))
+    start = np.flatnonzero(start_here)
+    stops = np.concatenate((start_here | ~inside, [True]))
+    stops[offsets] = True
+    stop = np.flatnonzero(stops)
+    end = stop[np.searchsorted(stop, start, side="right")]
+    upper = ((raw >= 65) & (raw <= 90)) | (accented & (raw <= 0x9E))
+    lower = raw + np.where(upper & ~in_odd, 32, 0).astype(np.uint8)
+    return lower, raw, start, end, in_odd[start], np.searchsorted(start, offsets)
+
+
 class WordEncoder:
-    """Whole texts through a tokenizer whose pieces never span ASCII white space: each distinct word is encoded once.
+    """Whole texts through a tokenizer that drops white space and splits as SPLITTER does: each distinct piece is encoded once.
 
-    That holds for a tokenizer that drops white space and splits at it before merging; for others, use whole=True.
-    Ids of up to CACHED_WORDS words stay for later batches, as arrays sorted by the words' hashes; words beyond that are
-    encoded anew in each batch.
+    Other tokenizers, or whole=True, encode each text in one call. Ids of up to CACHED_WORDS pieces stay for later batches, as
+    arrays sorted by the pieces' hashes; pieces beyond that are encoded anew in each batch.
     """
 
     def __init__(self, vocabulary: str, whole: bool = False):
@@ -43,25 +98,33 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.whole = Tokenizer.from_file(vocabulary), whole
+        self.tokenizer = Tokenizer.from_file(vocabulary)
+        about = json.loads(self.tokenizer.to_str())
+        self.whole = whole or (about["normalizer"], about["pre_tokenizer"]) != (NORMALIZER, SPLITTER)
+        self.letters = _byte_letters()
         self.known, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.ids, self.starts = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
-    def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and their bounds, a few texts at a time: an encoding object is far larger than its ids."""
-        ids, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
-        for k in range(0, len(texts), ENCODED_AT_ONCE):
-            got = [x.ids for x in self.tokenizer.encode_batch(texts[k : k + ENCODED_AT_ONCE], add_special_tokens=False)]
-            sizes.append(np.fromiter(map(len, got), np.int64, len(got)))
-            ids.append(np.fromiter(chain.from_iterable(got), np.int32, int(sizes[-1].sum())))
-        return np.concatenate(ids), np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
+    def _plain(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+    def _pieces(self, lower: np.ndarray, raw: np.ndarray, start: np.ndarray, end: np.ndarray, odd: np.ndarray) -> list[list[int]]:
+        tokenize, low, letters = self.tokenizer.model.tokenize, lower.tobytes(), self.letters
+        out = [[t.id for t in tokenize(low[a:b].decode("latin-1").translate(letters))] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+        if len(at := np.flatnonzero(odd)):
+            whole = raw.tobytes()
+            for i, ids in zip(at.tolist(), self._plain([whole[a:b].decode() for a, b in zip(start[at].tolist(), end[at].tolist(), strict=True)]), strict=True):
+                out[i] = ids
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the bounds of each text's ids."""
         if self.whole:
-            return self._plain([x or "" for x in texts.to_pylist()])
-        words = find_words(texts)
-        distinct, seen, which = np.unique(words.hash, return_index=True, return_inverse=True)
+            got = self._plain([x or "" for x in texts.to_pylist()])
+            return np.fromiter(chain.from_iterable(got), np.int32), np.concatenate(([0], np.cumsum([len(x) for x in got], dtype=np.int64)))
+        lower, raw, start, end, odd, first = cut_pieces(texts)
+        hashes = hash_spans(lower, start, end) ^ odd.astype(np.uint64)
+        distinct, seen, which = np.unique(hashes, return_index=True, return_inverse=True)
         slot = np.searchsorted(self.known, distinct)
         old = slot < len(self.known)
         old[old] = self.known[slot[old]] == distinct[old]
@@ -69,10 +132,12 @@ class WordEncoder:
         place[old] = self.place[slot[old]]
         ids, starts = self.ids, self.starts
         if len(new := np.flatnonzero(~old)):
-            raw, at = words.bytes.tobytes(), seen[new]
-            fresh, bounds = self._plain([raw[a:b].decode() for a, b in zip(words.start[at].tolist(), words.end[at].tolist(), strict=True)])
+            at = seen[new]
+            got = self._pieces(lower, raw, start[at], end[at], odd[at])
+            sizes = np.fromiter(map(len, got), np.int64, len(got))
+            fresh = np.fromiter(chain.from_iterable(got), np.int32, int(sizes.sum()))
             place[new] = len(starts) - 1 + np.arange(len(new))
-            ids, starts = np.concatenate((ids, fresh)), np.concatenate((starts, starts[-1] + bounds[1:]))
+            ids, starts = np.concatenate((ids, fresh)), np.concatenate((starts, starts[-1] + np.cumsum(sizes)))
             if (room := CACHED_WORDS - len(self.known)) > 0:
                 kept = new[:room]
                 self.known = np.insert(self.known, slot[kept], distinct[kept])
@@ -83,7 +148,7 @@ class WordEncoder:
         size = (starts[1:] - starts[:-1])[each]
         ends = np.cumsum(size)
         flat = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts[each] - ends + size, size)
-        return ids[flat], np.concatenate(([0], ends))[words.first]
+        return ids[flat], np.concatenate(([0], ends))[first]
 
 
 _encoders: dict[tuple, WordEncoder] = {}

@@ -99,6 +99,11 @@ def _hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix(out)
 
 
+def hash_spans(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each span; spans differ in place, not in value, where their bytes are equal."""
+    return _hashes(raw, start, end)
+
+
 def grams(hashes: np.ndarray, first: np.ndarray, n: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of n words that stay in one text, and the word at which each begins."""
     total = len(hashes) - n + 1

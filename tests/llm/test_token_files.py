@@ -56,6 +56,16 @@ def test_empty_table(spark, tmp_path):
     assert T.read_metadata(spark, path).count() == 0
 
 
+def test_pieces_agree_with_whole_texts():
+    import random
+
+    rng = random.Random(8)
+    parts = ["A", "b", "Z9", "12", "é", "É", "×", "÷", "ß", "ÿ", "µ", "ª", "'s", "don't", "<|", "<|endoftext|>", "<|ENDOFTEXT|>", "|", "<", "|>", "...", "-", "_", "\u0301", "I\u0307", "Σ", "ǅ", "漢字", "🙂", "\x00", "\x1c", "\u00a0", "\u0085", "\u2028", " ", "\t", "\n", "  ", "Ã", "Â", "K", "ﬁ", "½", "²", "٣", "'", "''LL"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(0, 14))) for _ in range(4000)]
+    a, b = T.WordEncoder(VOCABULARY).encode(pa.array(texts)), T.WordEncoder(VOCABULARY, whole=True).encode(pa.array(texts))
+    assert all(x.tolist() == y.tolist() for x, y in zip(a, b, strict=True))
+
+
 def test_cache_bound_does_not_change_ids(monkeypatch):
     monkeypatch.setattr(T, "CACHED_WORDS", 3)
     encoder, whole = T.WordEncoder(VOCABULARY), T.WordEncoder(VOCABULARY, whole=True)
