@@ -12,6 +12,7 @@ from tallyloom.llm.language_id import op7_language_id
 from tallyloom.llm.line_dedup import OP8_SQL, op8_line_dedup
 from tallyloom.llm.near_dedup import op10_near_dedup
 from tallyloom.llm.quality_rules import op2_quality_rules
+from tallyloom.llm.substring_dedup import op9_substring_dedup
 from tallyloom.llm.token_files import op5_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_files": op5_token_files,
     "op7_language_id": op7_language_id,
     "op8_line_dedup": op8_line_dedup,
+    "op9_substring_dedup": op9_substring_dedup,
 }
 
 SQL: dict[str, str] = {"op8_line_dedup": OP8_SQL}
