@@ -11,6 +11,7 @@ from tallyloom.llm.decontamination import op1_decontamination
 from tallyloom.llm.language_id import op7_language_id
 from tallyloom.llm.line_dedup import OP8_SQL, op8_line_dedup
 from tallyloom.llm.near_dedup import op10_near_dedup
+from tallyloom.llm.piece_lattice import op6_sentencepiece
 from tallyloom.llm.quality_rules import op2_quality_rules
 from tallyloom.llm.substring_dedup import op9_substring_dedup
 from tallyloom.llm.token_files import op5_token_files
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_chat_formatting": op3_chat_formatting,
     "op5_token_files": op5_token_files,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_language_id": op7_language_id,
     "op8_line_dedup": op8_line_dedup,
     "op9_substring_dedup": op9_substring_dedup,
