@@ -8,10 +8,13 @@ Pairs up to that distance are found without fail: by the pigeonhole principle, o
 ERRORS differing slots, so for some choice of ERRORS masked slots the others agree. Every choice gives a key, and pairs with a
 key in common are candidates. Candidates meet the bounds of size and signature distance, then the full sets are compared.
 
-Groups are never paired out. Documents with equal sets form one class, and one of them stands for it. In a bucket of one
-key, each class is first compared with the bucket's smallest; links give components. Only buckets with several components are
-looked at again, where classes of different components are compared by signature, a bounded block of them with another at a time,
-so any link left between components is found however large the bucket. What is kept between steps is written to the checkpoint folder.
+Pairs are never written out. Documents with equal sets form one class, and one of them stands for it. In a bucket of one key, each
+class is compared by signature with the bucket's smallest; pairs within the distance give groups of classes. Buckets that still hold several groups are
+looked at again, where classes of different groups are compared, a bounded block of them with another at a time, and only what joins two groups
+goes on; so every pair within the distance that has a key in common ends in one group. Then the full sets of a group are compared, again a
+block with another at a time. A class that is not yet linked to the largest component of its block meets all others there, so a large family of
+near copies takes a few rounds and only its stragglers meet everyone; what goes on is at most one link for each class and block. What is kept between
+steps is written to the checkpoint folder.
 
 Null, empty and blank texts have no set and are linked with nothing; so are rows with a null doc_id. Rows with the same
 doc_id are one node. Columns of other names don't matter.
@@ -27,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import checkpointed, table, text_slices
+from tallyloom.llm.common import checkpointed, table, text_slices, written
 from tallyloom.llm.components import components
 from tallyloom.llm.wordhash import find_words, grams, mix, signed
 
@@ -35,8 +38,10 @@ CHUNKS, CHUNK, ERRORS, BITS = 10, 7, 2, 16
 SLOTS = CHUNKS * CHUNK
 #: The pigeonhole bound: one more, and every chunk could have more than ERRORS.
 DISTANCE = CHUNKS * (ERRORS + 1) - 1
-#: Classes of a bucket that one task compares with as many others.
+#: Classes of a bucket that are compared with as many others by signature at a time.
 BLOCK = 2048
+#: A group is cut into blocks of so many classes, but into no more than MOST_BLOCKS unless a block would hold more than BLOCK_SHINGLES.
+SET_BLOCK, MOST_BLOCKS, BLOCK_SHINGLES = 128, 32, 1_000_000
 
 _U = np.uint64
 _FACTORS = mix(np.arange(1, SLOTS + 1, dtype=np.uint64) * _U(0xD6E8FEB86659FD93)) | _U(1)
@@ -169,70 +174,115 @@ def _sets(n: int):
     return run
 
 
-def _confirmer(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sides = []
-            for name in ("set_a", "set_b"):
-                lists = batch.column(name)
-                sides.append((np.asarray(lists.values).view(np.uint64), np.asarray(lists.offsets).tolist()))
-            (va, oa), (vb, ob) = sides
-            keep = []
-            for i in range(batch.num_rows):
-                a, b = va[oa[i] : oa[i + 1]], vb[ob[i] : ob[i + 1]]
-                at = np.searchsorted(a, b)
-                same = int((a[np.minimum(at, len(a) - 1)] == b).sum()) if len(a) else 0
-                keep.append(100 * same >= percent * (len(a) + len(b) - same) > 0)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+class _Union:
+    """Sets of numbers that are joined step by step."""
 
-    return run
+    def __init__(self):
+        self.above: dict[int, int] = {}
+
+    def find(self, x: int) -> int:
+        while (y := self.above.get(x, x)) != x:
+            self.above[x] = x = self.above.get(y, y)
+        return x
+
+    def join(self, a: int, b: int) -> bool:
+        a, b = self.find(a), self.find(b)
+        if a != b:
+            self.above[max(a, b)] = min(a, b)
+        return a != b
 
 
-def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by key, left, right, half; a run has at most two blocks of about BLOCK rows."""
+def _tiles(batches: Iterator[pa.RecordBatch], by: tuple[str, ...]) -> Iterator[pa.Table]:
+    """The rows of each (by) together; they come sorted by it."""
     kept: list[pa.RecordBatch] = []
     now = None
     for batch in batches:
-        at = [np.asarray(batch.column(x)) for x in ("key", "left", "right")]
+        at = [np.asarray(batch.column(x)) for x in by]
         change = np.flatnonzero(np.any([x[1:] != x[:-1] for x in at], axis=0)) + 1
         for a, b in zip([0, *change.tolist()], [*change.tolist(), batch.num_rows], strict=True):
             if a == b:
                 continue
             here = tuple(int(x[a]) for x in at)
-            if here != now:
-                yield from _compare(kept)
-                kept, now = [], here
+            if here != now and kept:
+                yield pa.Table.from_batches(kept).combine_chunks()
+                kept = []
+            now = here
             kept.append(batch.slice(a, b - a))
-    yield from _compare(kept)
-
-
-def _compare(kept: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    if not kept:
-        return
-    rows = pa.Table.from_batches(kept).combine_chunks()
-    node, root, n, half = (rows.column(x).to_numpy() for x in ("node", "root", "n", "half"))
-    sig = _sigs(rows.column("sig").combine_chunks())
-    second = int(rows.column("left")[0].as_py()) != int(rows.column("right")[0].as_py())
-    first_half = np.flatnonzero(half == 0)
-    other = np.flatnonzero(half == 1) if second else first_half
-    for i in first_half:
-        vs = other if second else other[other > i]
-        vs = vs[(root[vs] != root[i]) & (100 * np.minimum(n[vs], n[i]) >= 80 * np.maximum(n[vs], n[i]))]
-        vs = vs[distances(sig[vs], sig[i]) <= DISTANCE]
-        if len(vs):
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[vs], node[i])), pa.array(np.maximum(node[vs], node[i]))], ["a", "b"])
+    if kept:
+        yield pa.Table.from_batches(kept).combine_chunks()
+
+
+def _one(column: pa.ChunkedArray) -> pa.Array:
+    return column.chunk(0) if column.num_chunks == 1 else column.combine_chunks()
+
+
+def _bridges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of nodes near enough by signature that join two groups which the task has not joined before."""
+    joined = _Union()
+    for rows in _tiles(batches, ("key", "left", "right")):
+        node, group, n, half = (rows.column(x).to_numpy() for x in ("node", "group", "n", "half"))
+        sig = _sigs(_one(rows.column("sig")))
+        two = rows.column("left")[0].as_py() != rows.column("right")[0].as_py()
+        out = []
+        for i in np.flatnonzero(half == 0):
+            others = np.flatnonzero((half == 1) if two else (np.arange(len(node)) > i))
+            others = others[(group[others] != group[i]) & (100 * np.minimum(n[others], n[i]) >= 80 * np.maximum(n[others], n[i]))]
+            others = others[distances(sig[others], sig[i]) <= DISTANCE]
+            out += [(int(node[i]), int(node[j])) for j in others if joined.join(int(group[i]), int(group[j]))]
+        if len(joined.above) > 1_000_000:
+            joined = _Union()
+        yield _pairs(out)
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], ["a", "b"])
+
+
+def set_links(sets: list[np.ndarray] | tuple[np.ndarray, np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links that connect the sets as all links would: of a flat array of values and bounds, pairs of places."""
+    values, bounds = sets
+    dense = np.unique(values, return_inverse=True)[1]
+    size = np.diff(bounds)
+    mark = np.zeros(int(dense.max()) + 1 if len(dense) else 0, bool)
+    component, done, out = np.arange(len(size)), np.zeros(len(size), bool), []
+    while True:
+        count = np.bincount(component, minlength=len(size))
+        waiting = np.flatnonzero(~done & (component != count.argmax()))
+        if not len(waiting):
+            return out
+        x = int(waiting[0])
+        done[x] = True
+        own = dense[bounds[x] : bounds[x + 1]]
+        mark[own] = True
+        same = np.add.reduceat(mark[dense], bounds[:-1], dtype=np.int64)
+        mark[own] = False
+        for y in np.flatnonzero(100 * same >= percent * (size + size[x] - same)):
+            if component[y] != component[x]:
+                out.append((x, int(y)))
+                component[component == component[y]] = component[x]
+
+
+def _verifier(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _tiles(batches, ("group", "left", "right")):
+            node, lists = rows.column("node").to_numpy(), _one(rows.column("set"))
+            bounds = np.asarray(lists.offsets).astype(np.int64)
+            values = np.asarray(lists.values)[bounds[0] : bounds[-1]]
+            yield _pairs([(int(node[x]), int(node[y])) for x, y in set_links((values, bounds - bounds[0]), percent)])
+
+    return run
 
 
 def _fits(na: Column, nb: Column, percent: int) -> Column:
     return 100 * F.least(na, nb) >= percent * F.greatest(na, nb)
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = docs.join(nodes, docs["doc_id"] == nodes["id"], "left_semi").mapInArrow(_sets(n), "node bigint, set array<bigint>")
-    a, b = sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), sets.select(F.col("node").alias("b"), F.col("set").alias("set_b"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b").mapInArrow(_confirmer(percent), "a bigint, b bigint")
+def _tiled(rows: DataFrame, key: str, blocks: Column, *carried: str) -> DataFrame:
+    """Rows of a key with each other, block by block: a row goes to each pair of blocks that its own is part of."""
+    placed = rows.withColumn("blocks", F.greatest(blocks, F.lit(1)).cast("int")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    every = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    side = [F.least("own", "other").cast("bigint").alias("left"), F.greatest("own", "other").cast("bigint").alias("right"), (F.col("own") > F.col("other")).cast("int").alias("half")]
+    return every.select(key, *side, "node", *carried).repartition(key, "left", "right").sortWithinPartitions(key, "left", "right", "half", "node")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -249,37 +299,41 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
 
     spelled = classes.filter("n >= 4").select("node", "sig").mapInArrow(_spell, "node bigint, keys array<bigint>")
     dealt = spelled.select(F.explode("keys").alias("key"), "node").repartition("key").sortWithinPartitions("key", "node")
-    buckets = checkpointed(dealt.mapInArrow(_runs, "key bigint, node bigint, lead bigint, many boolean"))
+    buckets = written(dealt.mapInArrow(_runs, "key bigint, node bigint, lead bigint, many boolean"), "buckets")
     sized = classes.select("node", "n", "sig")
     a, b = (sized.select(*(F.col(c).alias(f"{c}_{x}" if c != "node" else x) for c in sized.columns)) for x in "ab")
     stars = buckets.filter("node <> lead").select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
     fit = stars.join(a, "a").join(b, "b").filter(_fits(F.col("n_a"), F.col("n_b"), percent))
-    tried = checkpointed(fit.select("a", "b", "sig_a", "sig_b").mapInArrow(_near, "a bigint, b bigint").distinct())
-    links = checkpointed(_confirmed(tried, rows, shingle, percent))
-    roots = components(links)
-
-    left = _between_components(buckets, sized, roots).join(tried, ["a", "b"], "left_anti")
-    left = checkpointed(left)
-    if not left.isEmpty():
-        roots = components(links.unionByName(_confirmed(left, rows, shingle, percent)))
+    near = fit.select("a", "b", "sig_a", "sig_b").mapInArrow(_near, "a bigint, b bigint")
+    groups = components(near)
+    bridges = checkpointed(_between_groups(buckets, sized, groups))
+    if not bridges.isEmpty():
+        groups = components(bridges.unionByName(groups.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+    roots = components(_links(rows, classes, groups, shingle, percent))
 
     named = classes.join(roots, "node", "left").select(F.xxhash64("n", "set1", "set2").alias("class"), F.coalesce("root", "node").alias("component_id"))
     placed = sketch.withColumn("class", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.xxhash64("n", "set1", "set2")))
     return placed.join(named, "class", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def _between_components(buckets: DataFrame, sized: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components that share a bucket and are near enough by size and signature."""
-    rooted = buckets.filter("many").select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    split = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("size")).filter("low <> high").select("key", "size")
-    mixed = rooted.join(split, "key").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-    placed = mixed.join(sized, "node").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    # a row goes to each pair of blocks that its own is part of
-    with_others = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = with_others.select(
-        "key", F.least("own", "other").cast("bigint").alias("left"), F.greatest("own", "other").cast("bigint").alias("right"), (F.col("own") > F.col("other")).cast("int").alias("half"), "node", "root", "n", "sig"
-    ).repartition("key", "left", "right").sortWithinPartitions("key", "left", "right", "half")
-    return dealt.mapInArrow(_block_pairs, "a bigint, b bigint").distinct()
+def _between_groups(buckets: DataFrame, sized: DataFrame, groups: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different groups that share a bucket and are near enough by size and signature, as many as join the groups."""
+    named = groups.select("node", F.col("root").alias("group"))
+    grouped = buckets.filter("many").select("key", "node").join(named, "node", "left").select("key", "node", F.coalesce("group", "node").alias("group"))
+    split = grouped.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("size")).filter("low <> high").select("key", "size")
+    mixed = grouped.join(split, "key").join(sized, "node")
+    return _tiled(mixed, "key", F.ceil(F.col("size") / BLOCK), "group", "n", "sig").mapInArrow(_bridges, "a bigint, b bigint")
+
+
+def _links(docs: DataFrame, classes: DataFrame, groups: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) between full sets, as many as connect what all links connect."""
+    members = groups.select("node", F.col("root").alias("group")).unionByName(groups.select(F.col("root").alias("node"), F.col("root").alias("group")).distinct())
+    known = checkpointed(members.join(classes.select("node", "n"), "node"))
+    sizes = known.groupBy("group").agg(F.count("*").alias("size"), F.sum("n").alias("shingles"))
+    blocks = F.greatest(F.least(F.ceil(F.col("size") / SET_BLOCK), F.lit(MOST_BLOCKS)), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
+    placed = known.join(sizes, "group").select("node", "group", blocks.alias("cuts"))
+    sets = docs.join(known.select(F.col("node").alias("id")).distinct(), F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(_sets(shingle), "node bigint, set array<bigint>")
+    return _tiled(sets.join(placed, "node"), "group", F.col("cuts"), "set").mapInArrow(_verifier(percent), "a bigint, b bigint")
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

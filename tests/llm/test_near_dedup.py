@@ -63,6 +63,7 @@ def family(rng, words, size, sides, edits):
 @pytest.mark.parametrize("n", [2, 5])
 def test_against_all_pairs(spark, n, monkeypatch):
     monkeypatch.setattr(N, "BLOCK", 8)
+    monkeypatch.setattr(N, "SET_BLOCK", 8)
     rng = random.Random(n)
     words = [f"w{i}" for i in range(400)]
     texts = [t for size in (1, 3, 5, 6, 9, 30, 80, 200, 300) for t in family(rng, words, size, 45, max(1, size // 9))]
@@ -98,6 +99,30 @@ def test_pigeonhole_key_for_every_pair_within_distance():
     assert (N.distances(a, b) == N.DISTANCE).all() and (N.keys(a) == N.keys(b)).any(axis=1).all()
 
 
+def test_set_links_connect_as_all_links():
+    rng = random.Random(9)
+    for _ in range(30):
+        sets = [sorted(rng.sample(range(40), rng.randrange(1, 40))) for _ in range(25)]
+        sets += [sorted({*s[1:], rng.randrange(40)}) for s in sets]
+        bounds = np.concatenate(([0], np.cumsum([len(s) for s in sets])))
+        want, got = list(range(len(sets))), list(range(len(sets)))
+
+        def find(root, x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for x in range(len(sets)):
+            for y in range(x):
+                if 100 * len({*sets[x]} & {*sets[y]}) >= 80 * len({*sets[x]} | {*sets[y]}):
+                    want[find(want, x)] = find(want, y)
+        found = N.set_links((np.concatenate(sets), bounds), 80)
+        for x, y in found:
+            got[find(got, x)] = find(got, y)
+        assert len(found) < len(sets)
+        assert all((find(want, x) == find(want, y)) == (find(got, x) == find(got, y)) for x in range(len(sets)) for y in range(x))
+
+
 @pytest.mark.parametrize("cuts", [[], [1, 2, 3, 4, 5, 6, 7, 8], [3], [5], [2, 6], [0, 9]])
 def test_runs_over_any_batches(cuts):
     rows = [(1, 4), (2, 1), (2, 5), (3, 1), (3, 2), (3, 3), (3, 9), (4, 7), (5, 2), (5, 3)]
