@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyloom.llm.chat_format import op3_chat_formatting
 from tallyloom.llm.decontamination import op1_decontamination
 from tallyloom.llm.language_id import op7_language_id
+from tallyloom.llm.license_scan import op4_license_scan
 from tallyloom.llm.line_dedup import OP8_SQL, op8_line_dedup
 from tallyloom.llm.near_dedup import op10_near_dedup
 from tallyloom.llm.piece_lattice import op6_sentencepiece
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_near_dedup": op10_near_dedup,
     "op2_quality_rules": op2_quality_rules,
     "op3_chat_formatting": op3_chat_formatting,
+    "op4_license_scan": op4_license_scan,
     "op5_token_files": op5_token_files,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_language_id": op7_language_id,
