@@ -26,6 +26,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tallyloom.llm.common import checkpointed, table, text_slices
 
@@ -195,27 +196,33 @@ def _places(letters: str) -> np.ndarray:
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred and score of each row of docs (doc_id, text)."""
+    return annotate(docs.select("doc_id", F.col("text").cast("string").alias("text")), model).select("doc_id", "lang_pred", F.col("lang_score").alias("score"))
+
+
+def annotate(docs: DataFrame, model: Model) -> DataFrame:
+    """docs, which has a string column text, with lang_pred and lang_score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        waiting: list[tuple] = []
+        m, waiting, n = shared.value, [], 0
         for batch in text_slices(batches, "text"):
             if not m.languages:
-                yield _answer(batch.column("doc_id"), np.full(batch.num_rows, -1), np.zeros(batch.num_rows), m)
+                yield _answer([batch], np.full(batch.num_rows, -1), np.zeros(batch.num_rows), m)
                 continue
-            waiting.append((batch.column("doc_id"), *word_scores(batch.column("text"), m, _places(m.letters))))
-            if sum(len(x[1]) for x in waiting) >= RUN_WORDS:
+            waiting.append((batch, *word_scores(batch.column("text"), m, _places(m.letters))))
+            n += len(waiting[-1][1])
+            if n >= RUN_WORDS:
                 yield _decide(waiting, m)
-                waiting = []
+                waiting, n = [], 0
         if waiting:
             yield _decide(waiting, m)
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
+    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("lang_score", DoubleType())])
+    return docs.mapInArrow(run, schema)
 
 
 def _decide(waiting: list[tuple], m: Model) -> pa.RecordBatch:
-    ids, scores, letters, firsts = zip(*waiting, strict=True)
+    batches, scores, letters, firsts = zip(*waiting, strict=True)
     shift = np.cumsum([0, *map(len, scores)])
     first = np.concatenate([[0], *(f[1:] + s for f, s in zip(firsts, shift, strict=False))])
     scores, letters = np.concatenate(scores), np.concatenate(letters)
@@ -226,12 +233,13 @@ def _decide(waiting: list[tuple], m: Model) -> pa.RecordBatch:
     total = held.sum(axis=1)
     pick = np.where(total > 0, held.argmax(axis=1), m.commonest)
     share = held.max(axis=1, initial=0) / np.maximum(total, 1)
-    return _answer(pa.concat_arrays(ids), np.where(count > 0, pick, -1), np.where(count > 0, share, 0.0), m)
+    return _answer(batches, np.where(count > 0, pick, -1), np.where(count > 0, share, 0.0), m)
 
 
-def _answer(ids: pa.Array, pick: np.ndarray, score: np.ndarray, m: Model) -> pa.RecordBatch:
-    names = pa.array([*m.languages, "und"], pa.string())
-    return pa.RecordBatch.from_arrays([ids, names.take(pa.array(np.where(pick < 0, len(m.languages), pick))), pa.array(score, pa.float64())], ["doc_id", "lang_pred", "score"])
+def _answer(batches: list[pa.RecordBatch], pick: np.ndarray, score: np.ndarray, m: Model) -> pa.RecordBatch:
+    names = pa.array([*m.languages, "und"], pa.string()).take(pa.array(np.where(pick < 0, len(m.languages), pick)))
+    columns = [pa.concat_arrays([b.column(i) for b in batches]) for i in range(batches[0].num_columns)]
+    return pa.RecordBatch.from_arrays([*columns, names, pa.array(score, pa.float64())], [*batches[0].schema.names, "lang_pred", "lang_score"])
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

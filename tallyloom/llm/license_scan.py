@@ -8,7 +8,7 @@ Size bounds prune first: of a template of b bigrams, only stretches of at most b
 and only if at least b * SCORE / (2 - SCORE) of them are the template's. Those bounds are checked for all texts of a batch at
 once; the few places that pass are scored exactly. A best stretch begins and ends with a common bigram, so only those are tried.
 
-Each text gives one row for each licence found, for its best stretch (of equals the longest template's, and its first). Null, empty and one-word texts have no
+A stretch that overlaps with a better one of another licence is dropped, since licences share words. Each text gives one row for each licence found, for its best stretch (of equals the longest template's, and its first). Null, empty and one-word texts have no
 bigram and give none. Rows with the same doc_id give rows each for itself.
 """
 
@@ -117,6 +117,16 @@ def best_stretch(hashes: np.ndarray, at: np.ndarray, size: int, most: int, score
 
 
 def scan_texts(texts: pa.Array, templates: Templates, score: float = SCORE) -> list[tuple[int, str, float, int, int]]:
+    """As best_stretches(), without those that overlap with a better one of another licence."""
+    kept: dict[int, list[tuple]] = {}
+    for row in sorted(best_stretches(texts, templates, score), key=lambda r: (r[0], -round(r[2], 9), -r[4], r[1])):
+        others = kept.setdefault(row[0], [])
+        if all(row[3] + row[4] <= x[3] or x[3] + x[4] <= row[3] for x in others):
+            others.append(row)
+    return [r for rows in kept.values() for r in sorted(rows)]
+
+
+def best_stretches(texts: pa.Array, templates: Templates, score: float) -> list[tuple[int, str, float, int, int]]:
     """text, licence, score, first word and number of words of each licence's best stretch."""
     words, hashes, begin = _bigrams(texts)
     likely = np.flatnonzero(templates.present[hashes & _LOW])
