@@ -141,10 +141,10 @@ class Lattice:
         forward = [0] + [int(_NONE)] * len(segment)
         for end in range(1, len(segment) + 1):
             forward[end] = max(forward[begin] + score for begin, score, _ in edges[end])
-        heap: list[tuple] = [(-forward[-1], 0, len(segment), 0, None)]
+        heap: list[tuple] = [(-forward[-1], len(segment), 0, 0, None)]
         out, count = [], 1
         while heap and len(out) < n:
-            _, _, at, behind, path = heapq.heappop(heap)
+            _, at, _, behind, path = heapq.heappop(heap)  # of equals the one nearest to the beginning, so ties don't all open up
             if at == 0:
                 ids: list[int] = []
                 while path is not None:
@@ -153,7 +153,7 @@ class Lattice:
                 out.append((behind, ids))
                 continue
             for begin, score, ids in edges[at]:
-                heapq.heappush(heap, (-(behind + score + forward[begin]), count, begin, behind + score, (ids, path)))
+                heapq.heappush(heap, (-(behind + score + forward[begin]), begin, count, behind + score, (ids, path)))
                 count += 1
         return out
 

@@ -108,3 +108,8 @@ def test_rows(spark):
     got = sorted((r.doc_id or 0, r.n_pieces, r.round_trip, len(r.scores)) for r in P.encode_nbest(df, MODEL, 2).collect())
     assert [g[2] for g in got] == [True] * 4 and got[0][:2] == (0, 0) and got[1] == got[2]
     assert P.encode_nbest(spark.createDataFrame([], "doc_id bigint, text string"), MODEL).count() == 0
+
+
+def test_many_ties_stay_cheap(small):
+    got = small.nbest("a" * 400, 5)
+    assert len(got) == 5 and got[0][0] >= got[4][0]
