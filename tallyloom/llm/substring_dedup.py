@@ -7,7 +7,7 @@ words is judged, also one that begins in a factor and ends in the next, so a rep
 The reference is the whole corpus. Parsing each document against each block of it would be quadratic, so blocks are addressed by
 content: in every window of SPAN words, the smallest hash of its runs of GRAM words is an anchor, the same wherever the window stands, and
 the block that holds an anchor's hash indexes all its occurrences. A window meets every block entry that could match it, and no
-other. First, anchors are counted by hash; windows whose anchor occurs once can't be repeated and go no further. Then the
+other. First, anchors are gathered by hash; windows whose anchor stands at one place of one text only can't be repeated and go no further. Then the
 windows of the rest are counted by a 64-bit hash of all their words together with the anchor's hash.
 
 Rows of a group are never paired: an occurrence meets only the group's count and first place. Documents with equal texts are repeated as a
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm.common import table, text_slices, written
 from tallyloom.llm.wordhash import find_words, grams
 
-SPAN, GRAM = 35, 12
+SPAN, GRAM = 35, 8
 _MOST = np.uint64(2**64 - 1)
 FACTORS = "array<struct<start: int, n: int, source: bigint, source_start: int>>"
 
@@ -85,7 +85,11 @@ def _anchorer(span: int, gram: int):
             row = np.searchsorted(p.words.first, at, side="right") - 1
             place = at - p.words.first[row]
             rows = pa.array(row)
-            yield pa.RecordBatch.from_arrays([pa.array(p.runs[at].view(np.int64)), batch.column("did").take(rows), batch.column("th").take(rows), pa.array(place.astype(np.int32))], ["anchor", "did", "th", "place"])
+            order = np.lexsort((p.runs[at], row))
+            same = (np.diff(row[order]) == 0) & (np.diff(p.runs[at][order]) == 0)
+            twice = np.zeros(len(at), bool)
+            twice[order[1:][same]] = True
+            yield pa.RecordBatch.from_arrays([pa.array(p.runs[at].view(np.int64)), batch.column("did").take(rows), batch.column("th").take(rows), pa.array(place.astype(np.int32)), pa.array(twice)], ["anchor", "did", "th", "place", "twice"])
 
     return run
 
@@ -165,19 +169,20 @@ def without_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, with_te
     blank. with_text=False gives kept_sha256 in place of kept_text. A factor's source is the first place of its words, in the order of doc_id.
     """
     rows = docs.select(
-        F.col("doc_id"), F.col("text").cast("string").alias("text"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("did"), F.hash(F.col("text").cast("string")).alias("th"), F.xxhash64(F.col("text").cast("string")).alias("t64")
+        F.col("doc_id"), F.col("text").cast("string").alias("text"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("did"), F.xxhash64(F.col("text").cast("string")).alias("th")
     )
     keys = ["did", "th"]
-    anchors = written(rows.mapInArrow(_anchorer(span, gram), "anchor bigint, did bigint, th int, place int"), "anchors")
-    shared = anchors.groupBy("anchor").agg(F.count("*").alias("_n")).filter("_n > 1").select("anchor")
+    anchors = written(rows.mapInArrow(_anchorer(span, gram), "anchor bigint, did bigint, th bigint, place int, twice boolean"), "anchors")
+    # equal texts don't make an anchor shared: they are told by their hash below
+    shared = anchors.groupBy("anchor").agg(F.min("th").alias("_low"), F.max("th").alias("_high"), F.max("twice").alias("_twice")).filter("_low <> _high OR _twice").select("anchor")
     flagged = anchors.join(shared, "anchor").groupBy(*keys).agg(F.collect_list("place").alias("places"))
 
-    same = rows.filter("text IS NOT NULL").groupBy("t64", F.length("text").alias("chars")).agg(F.count("*").alias("n"), F.min("did").alias("first")).filter("n > 1")
-    copies = rows.filter("text IS NOT NULL").select("did", "th", "t64", F.length("text").alias("chars")).distinct().join(same, ["t64", "chars"]).select(*keys, F.struct("n", "first").alias("copies"))
+    same = rows.filter("text IS NOT NULL").groupBy("th", F.length("text").alias("chars")).agg(F.count("*").alias("n"), F.min("did").alias("first")).filter("n > 1")
+    copies = rows.filter("text IS NOT NULL").select("did", "th", F.length("text").alias("chars")).distinct().join(same, ["th", "chars"]).select(*keys, F.struct("n", "first").alias("copies"))
     first_only = flagged.join(copies, keys, "left").filter(F.col("copies").isNull() | (F.col("copies.first") == F.col("did"))).select(*keys, "places")
 
     dealt = rows.select("doc_id", "text", *keys).repartition(*keys)
-    windows = dealt.join(first_only, keys).select(*keys, "text", "places").dropDuplicates(keys).mapInArrow(_windower(span, gram), "window bigint, anchor bigint, did bigint, th int, start int")
+    windows = dealt.join(first_only, keys).select(*keys, "text", "places").dropDuplicates(keys).mapInArrow(_windower(span, gram), "window bigint, anchor bigint, did bigint, th bigint, start int")
     repeated = windows.groupBy("window", "anchor").agg(F.count("*").alias("_n"), F.min(F.struct("did", "start")).alias("source")).filter("_n > 1").drop("_n")
     hits = windows.join(repeated, ["window", "anchor"]).groupBy(*keys).agg(F.collect_list(F.struct("start", "source")).alias("hits"))
     placed = dealt.join(hits, keys, "left").join(copies, keys, "left").select("doc_id", "text", "hits", "copies")
