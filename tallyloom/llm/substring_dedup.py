@@ -10,7 +10,8 @@ the block that holds an anchor's hash indexes all its occurrences. A window meet
 other. First, anchors are gathered by hash; windows whose anchor stands at one place of one text only can't be repeated and go no further. Then the
 windows of the rest are counted by a 64-bit hash of all their words together with the anchor's hash.
 
-Rows of a group are never paired: an occurrence meets only the group's count and first place. Documents with equal texts are repeated as a
+Windows of one anchor that follow each other travel as one row. Rows of a group are never paired: an occurrence meets only the group's count and
+first place. Anchors with more than HOT occurrences would weigh on one task, so their windows are counted by hash with partial sums instead. Documents with equal texts are repeated as a
 whole; one of them stands for all in the index. Null, empty and short texts have no window and stay whole. Rows that agree in doc_id
 and text are two documents with equal texts. Other columns are left out.
 """
@@ -29,7 +30,9 @@ from tallyloom.llm.common import table, text_slices, written
 from tallyloom.llm.wordhash import find_words, grams
 
 SPAN, GRAM = 35, 8
+HOT = 500
 _MOST = np.uint64(2**64 - 1)
+PIECE = "did bigint, th bigint, start int, n int, source bigint, source_start int"
 FACTORS = "array<struct<start: int, n: int, source: bigint, source_start: int>>"
 
 
@@ -94,16 +97,42 @@ def _anchorer(span: int, gram: int):
     return run
 
 
-def _windower(span: int, gram: int):
+def _windows(batch: pa.RecordBatch, span: int, gram: int, hot: bool) -> tuple[Parsed, np.ndarray, np.ndarray]:
+    """The words of the texts, the windows whose anchor is among the places of that kind, and the row of each."""
+    p = Parsed(batch.column("text"), span, gram)
+    lists = batch.column("places")
+    bounds, values = np.asarray(lists.offsets), lists.values
+    row = np.repeat(np.arange(len(lists)), np.diff(bounds))
+    values = values.slice(bounds[0], bounds[-1] - bounds[0])
+    mine = np.asarray(values.field("hot").to_numpy(zero_copy_only=False)) == hot
+    found = p.windows_of((p.words.first[row] + np.asarray(values.field("place")))[mine])
+    return p, found, np.searchsorted(p.words.first, p.begin[found], side="right") - 1
+
+
+def _window_runs(span: int, gram: int):
+    """Windows that follow each other and have one anchor, as one row."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
-            p = Parsed(batch.column("text"), span, gram)
-            places, row = _flat(batch.column("places"))
-            found = p.windows_of(p.words.first[row] + places)
-            begin = p.begin[found]
-            row = np.searchsorted(p.words.first, begin, side="right") - 1
+            p, found, row = _windows(batch, span, gram, False)
+            begin, least = p.begin[found], p.least[found]
+            new = np.ones(len(found), bool)
+            new[1:] = (np.diff(begin) != 1) | (row[1:] != row[:-1]) | (least[1:] != least[:-1])
+            head = np.flatnonzero(new)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(head, len(found)).astype(np.int32)), pa.array(p.window[found].view(np.int64)))
+            rows = pa.array(row[head])
+            start = (begin[head] - p.words.first[row[head]]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(least[head].view(np.int64)), batch.column("did").take(rows), batch.column("th").take(rows), pa.array(start), lists], ["anchor", "did", "th", "start", "windows"])
+
+    return run
+
+
+def _single_windows(span: int, gram: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, "text"):
+            p, found, row = _windows(batch, span, gram, True)
             rows = pa.array(row)
-            start = (begin - p.words.first[row]).astype(np.int32)
+            start = (p.begin[found] - p.words.first[row]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(p.window[found].view(np.int64)), pa.array(p.least[found].view(np.int64)), batch.column("did").take(rows), batch.column("th").take(rows), pa.array(start)], ["window", "anchor", "did", "th", "start"]
             )
@@ -111,15 +140,70 @@ def _windower(span: int, gram: int):
     return run
 
 
-def _factors(starts: np.ndarray, source: np.ndarray, source_start: np.ndarray, span: int) -> list[dict]:
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by anchor, did, start. The repeated windows among them, as pieces that copy one source; an anchor's rows are looked at together."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        anchor = np.asarray(batch.column("anchor"))
+        cut = int(np.flatnonzero(anchor != anchor[-1])[-1]) + 1 if anchor[0] != anchor[-1] else 0
+        if cut:
+            yield from _pieces([*held, batch.slice(0, cut)])
+            held = [batch.slice(cut)]
+        elif held and held[-1].column("anchor")[0].as_py() != anchor[0]:
+            yield from _pieces(held)
+            held = [batch]
+        else:
+            held.append(batch)
+    yield from _pieces(held)
+
+
+def _pieces(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    if not batches:
+        return
+    rows = pa.Table.from_batches(batches).combine_chunks()
+    one = lambda c: rows.column(c).combine_chunks() if rows.column(c).num_chunks != 1 else rows.column(c).chunk(0)
+    lists = one("windows")
+    bounds = np.asarray(lists.offsets).astype(np.int64)
+    values = np.asarray(lists.values)[bounds[0] : bounds[-1]].view(np.uint64)
+    bounds = bounds - bounds[0]
+    size = np.diff(bounds)
+    row = np.repeat(np.arange(len(size)), size)
+    anchor, did, start = (np.asarray(one(c)) for c in ("anchor", "did", "start"))
+    place = start[row] + np.arange(len(row)) - np.repeat(bounds[:-1], size)
+    order = np.lexsort((np.arange(len(row)), values, anchor.view(np.uint64)[row]))
+    same = (values[order][1:] == values[order][:-1]) & (anchor[row[order]][1:] == anchor[row[order]][:-1])
+    first = np.concatenate(([True], ~same))
+    group = np.cumsum(first) - 1
+    source, often = np.empty(len(row), np.int64), np.empty(len(row), bool)
+    source[order] = order[first][group]  # rows are in order, so the first is the smallest place
+    often[order] = np.bincount(group)[group] > 1
+    hit = np.flatnonzero(often)
+    if not len(hit):
+        return
+    new = np.ones(len(hit), bool)
+    new[1:] = (np.diff(hit) != 1) | (np.diff(row[hit]) != 0) | (np.diff(row[source[hit]]) != 0) | (np.diff(place[source[hit]]) != 1)
+    head = hit[new]
+    n = np.diff(np.append(np.flatnonzero(new), len(hit)))
+    take = pa.array(row[head])
+    yield pa.RecordBatch.from_arrays(
+        [one("did").take(take), one("th").take(take), pa.array(place[head].astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(did[row[source[head]]]), pa.array(place[source[head]].astype(np.int32))],
+        ["did", "th", "start", "n", "source", "source_start"],
+    )
+
+
+def _factors(starts: np.ndarray, n: np.ndarray, source: np.ndarray, source_start: np.ndarray, span: int) -> list[dict]:
     """The greedy parse: each factor copies from the source of its first window as far as the windows' sources go on."""
-    out, i = [], 0
-    while i < len(starts):
-        j = i
-        while j + 1 < len(starts) and starts[j + 1] == starts[j] + 1 and source[j + 1] == source[j] and source_start[j + 1] == source_start[j] + 1:
-            j += 1
-        out.append({"start": int(starts[i]), "n": int(starts[j] - starts[i]) + span, "source": int(source[i]), "source_start": int(source_start[i])})
-        i = j + 1
+    out: list[dict] = []
+    end = 0
+    for a, k, doc, at in zip(starts.tolist(), n.tolist(), source.tolist(), source_start.tolist(), strict=True):
+        last = out[-1] if out else None
+        if last and a == end and doc == last["source"] and at - last["source_start"] == a - last["start"]:
+            last["n"] += k
+        else:
+            out.append({"start": a, "n": k + span - 1, "source": doc, "source_start": at})
+        end = a + k
     return out
 
 
@@ -132,8 +216,7 @@ def _cutter(span: int, with_text: bool):
             repeated = batch.column("copies").to_pylist()
             lists = batch.column("hits")
             bounds, found = np.asarray(lists.offsets), lists.values
-            of = found.field("source")
-            hits = [np.asarray(x) for x in (found.field("start"), of.field("did"), of.field("start"))]
+            hits = [np.asarray(found.field(x)) for x in ("start", "n", "source", "source_start")]
             out = {"n_removed": [], "kept": [], "factors": []}
             for i in range(batch.num_rows):
                 gone = np.zeros(count[i] + 1, np.int32)
@@ -142,12 +225,11 @@ def _cutter(span: int, with_text: bool):
                     gone[0], gone[-1] = 1, -1
                     factors = [{"start": 0, "n": int(count[i]), "source": repeated[i]["first"], "source_start": 0}]
                 elif bounds[i + 1] > bounds[i]:
-                    starts, source, source_start = (x[bounds[i] : bounds[i + 1]] for x in hits)
-                    order = np.argsort(starts)
-                    starts, source, source_start = starts[order], source[order], source_start[order]
+                    order = np.argsort(hits[0][bounds[i] : bounds[i + 1]])
+                    starts, n, source, source_start = (x[bounds[i] : bounds[i + 1]][order] for x in hits)
                     np.add.at(gone, starts, 1)
-                    np.add.at(gone, starts + span, -1)
-                    factors = _factors(starts, source, source_start, span)
+                    np.add.at(gone, starts + n - 1 + span, -1)
+                    factors = _factors(starts, n, source, source_start, span)
                 stay = np.flatnonzero(np.cumsum(gone)[:-1] == 0) + words.first[i]
                 kept = b" ".join([texts[a:b] for a, b in zip(words.start[stay].tolist(), words.end[stay].tolist(), strict=True)])
                 out["n_removed"].append(int(count[i]) - len(stay))
@@ -174,17 +256,23 @@ def without_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, with_te
     keys = ["did", "th"]
     anchors = written(rows.mapInArrow(_anchorer(span, gram), "anchor bigint, did bigint, th bigint, place int, twice boolean"), "anchors")
     # equal texts don't make an anchor shared: they are told by their hash below
-    shared = anchors.groupBy("anchor").agg(F.min("th").alias("_low"), F.max("th").alias("_high"), F.max("twice").alias("_twice")).filter("_low <> _high OR _twice").select("anchor")
-    flagged = anchors.join(shared, "anchor").groupBy(*keys).agg(F.collect_list("place").alias("places"))
+    # equal texts don't make an anchor shared: they are told by their hash below
+    gathered = anchors.groupBy("anchor").agg(F.min("th").alias("_low"), F.max("th").alias("_high"), F.max("twice").alias("_twice"), F.count("*").alias("_n"))
+    shared = gathered.filter("_low <> _high OR _twice").select("anchor", (F.col("_n") > HOT).alias("hot"))
+    flagged = anchors.join(shared, "anchor").groupBy(*keys).agg(F.collect_list(F.struct("place", "hot")).alias("places"), F.max("hot").alias("any_hot"), F.min("hot").alias("all_hot"))
 
     same = rows.filter("text IS NOT NULL").groupBy("th", F.length("text").alias("chars")).agg(F.count("*").alias("n"), F.min("did").alias("first")).filter("n > 1")
     copies = rows.filter("text IS NOT NULL").select("did", "th", F.length("text").alias("chars")).distinct().join(same, ["th", "chars"]).select(*keys, F.struct("n", "first").alias("copies"))
-    first_only = flagged.join(copies, keys, "left").filter(F.col("copies").isNull() | (F.col("copies.first") == F.col("did"))).select(*keys, "places")
+    first_only = flagged.join(copies, keys, "left").filter(F.col("copies").isNull() | (F.col("copies.first") == F.col("did"))).select(*keys, "places", "any_hot", "all_hot")
 
     dealt = rows.select("doc_id", "text", *keys).repartition(*keys)
-    windows = dealt.join(first_only, keys).select(*keys, "text", "places").dropDuplicates(keys).mapInArrow(_windower(span, gram), "window bigint, anchor bigint, did bigint, th bigint, start int")
-    repeated = windows.groupBy("window", "anchor").agg(F.count("*").alias("_n"), F.min(F.struct("did", "start")).alias("source")).filter("_n > 1").drop("_n")
-    hits = windows.join(repeated, ["window", "anchor"]).groupBy(*keys).agg(F.collect_list(F.struct("start", "source")).alias("hits"))
+    looked = dealt.join(first_only, keys)  # repeated rows double their windows, which are repeated anyway
+    runs = looked.filter("NOT all_hot").select(*keys, "text", "places").mapInArrow(_window_runs(span, gram), "anchor bigint, did bigint, th bigint, start int, windows array<bigint>")
+    pieces = runs.repartition("anchor").sortWithinPartitions("anchor", "did", "start").mapInArrow(_repeated, PIECE)
+    singles = looked.filter("any_hot").select(*keys, "text", "places").mapInArrow(_single_windows(span, gram), "window bigint, anchor bigint, did bigint, th bigint, start int")
+    often = singles.groupBy("window", "anchor").agg(F.count("*").alias("_n"), F.min(F.struct("did", "start")).alias("source")).filter("_n > 1").drop("_n")
+    hot_pieces = singles.join(often, ["window", "anchor"]).select(*keys, "start", F.lit(1).alias("n"), F.col("source.did").alias("source"), F.col("source.start").alias("source_start"))
+    hits = pieces.unionByName(hot_pieces).groupBy(*keys).agg(F.collect_list(F.struct("start", "n", "source", "source_start")).alias("hits"))
     placed = dealt.join(hits, keys, "left").join(copies, keys, "left").select("doc_id", "text", "hits", "copies")
     kept = "kept_text" if with_text else "kept_sha256"
     return placed.mapInArrow(_cutter(span, with_text), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words bigint, n_removed bigint, {kept} string, factors {FACTORS}")

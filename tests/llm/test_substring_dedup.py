@@ -33,8 +33,9 @@ def found(spark, rows, span, gram):
     return sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got), key=str)
 
 
-@pytest.mark.parametrize(("span", "gram"), [(5, 2), (7, 3), (9, 9), (35, 12)])
-def test_against_all_windows(spark, span, gram):
+@pytest.mark.parametrize(("span", "gram", "hot"), [(5, 2, 500), (7, 3, 20), (9, 9, 3), (35, 12, 500), (35, 8, 0)])
+def test_against_all_windows(spark, span, gram, hot, monkeypatch):
+    monkeypatch.setattr(S, "HOT", hot)
     rng = random.Random(span)
     passages = [[f"w{rng.randrange(50)}" for _ in range(rng.randrange(span - 2, 4 * span))] for _ in range(6)]
     rows = []
@@ -79,6 +80,15 @@ def test_anchors_are_in_every_window():
     assert len(p.windows_of(at)) == len(p.begin) and len(p.windows_of(np.zeros(0, np.int64))) == 0
 
 
+@pytest.mark.parametrize("cuts", [[], [1, 2, 3, 4], [2], [3]])
+def test_anchors_over_any_batches(cuts):
+    rows = [(1, 1, 0, [5, 6]), (2, 1, 3, [7]), (2, 2, 9, [7, 8]), (2, 3, 4, [6, 7, 8]), (3, 1, 0, [5])]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())]
+    made = [pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*[(a, d, 0, s, w) for a, d, s, w in rows[i:j]]), kinds, strict=True)], ["anchor", "did", "th", "start", "windows"]) for i, j in zip([0, *cuts], [*cuts, 5], strict=True)]
+    got = sorted(tuple(r.values()) for b in S._repeated(iter(made)) for r in b.to_pylist())
+    assert got == [(1, 0, 3, 1, 1, 3), (2, 0, 9, 1, 1, 3), (2, 0, 10, 1, 2, 10), (3, 0, 5, 1, 1, 3), (3, 0, 6, 1, 2, 10)]
+
+
 def test_factors_are_copies(spark):
     run = [f"w{i}" for i in range(60)]
     rows = [(1, " ".join(run)), (2, " ".join(["a", *run[:40], "b", *run[10:50]]))]
