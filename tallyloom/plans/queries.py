@@ -141,6 +141,7 @@ def headline(spark, d):
 
 # --- names and texts ----------------------------------------------------------------------------------------
 
+_FORMS = "regexp_replace(lower(coalesce({c}, '')), '\\b(?:" + "|".join(K.LEGAL_FORMS).replace("{", "{{").replace("}", "}}") + ")\\b\\.?', ' ', 'g')"
 _CLEAN = "trim(regexp_replace(regexp_replace(lower(coalesce({c}, '')), '[^a-z0-9 ]', ' ', 'g'), ' +', ' ', 'g'))"
 
 
@@ -193,7 +194,7 @@ _TERMS = "SELECT DISTINCT lower(regexp_extract(text, '^([A-Za-z]+ [a-z]+ [a-z]+)
 
 
 @query(
-    f"""WITH terms AS ({_TERMS}), docs AS (SELECT doc_id, ' ' || {_CLEAN.format(c='text').replace('[^a-z0-9 ]', '[^a-z0-9]')} || ' ' AS t FROM documents WHERE lang = 'en' AND NOT regexp_matches(text, '[^\\x00-\\x7F(){{}}]') AND strpos(text, '(') = 0),
+    f"""WITH terms AS ({_TERMS}), docs AS (SELECT doc_id, ' ' || {_CLEAN.replace('[^a-z0-9 ]', '[^a-z0-9]').format(c=_FORMS.format(c='text'))} || ' ' AS t FROM documents WHERE lang = 'en' AND NOT regexp_matches(text, '[^\\x00-\\x7F(){{}}]') AND strpos(text, '(') = 0),
 hits AS (SELECT doc_id, term, strpos(t, ' ' || term || ' ') AS place FROM docs JOIN terms ON strpos(t, ' ' || term || ' ') > 0),
 ranked AS (SELECT doc_id, term AS ref, row_number() OVER (PARTITION BY doc_id ORDER BY place, length(term) DESC) AS k FROM hits)
 SELECT doc_id, ref FROM ranked WHERE k = 1"""
