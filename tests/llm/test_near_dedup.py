@@ -62,7 +62,6 @@ def family(rng, words, size, sides, edits):
 
 @pytest.mark.parametrize("n", [2, 5])
 def test_against_all_pairs(spark, n, monkeypatch):
-    monkeypatch.setattr(N, "BLOCK", 8)
     monkeypatch.setattr(N, "SET_BLOCK", 8)
     rng = random.Random(n)
     words = [f"w{i}" for i in range(400)]
