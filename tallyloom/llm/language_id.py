@@ -38,7 +38,7 @@ MOST_ODDS = 4.0
 #: A language uses a script if at least this share of its training letters is in it.
 SCRIPT_SHARE = 0.005
 #: Words that one Viterbi run takes at once, in whole documents.
-RUN_WORDS = 2_000_000
+RUN_WORDS = 1_000_000
 
 # First code points of Unicode ranges and the script that starts there (Unicode's block list).
 SCRIPTS = [
