@@ -11,15 +11,16 @@ from pyspark.sql import functions as F
 
 from tallyloom import constants as K
 from tallyloom.functions.amounts import fund_among, fund_known, number, relative_difference, whole
+from tallyloom.functions.rows import row_key
 from tallyloom.functions.text import with_flag
 
 YEARS = 2
 
 
 def with_marks(rows: DataFrame) -> DataFrame:
-    """rows with the columns that the rules fill, and ord if there is none."""
+    """rows with the columns that the rules fill, and ord, which goes by content if there is none."""
     if "ord" not in rows.columns:
-        rows = rows.withColumn("ord", F.monotonically_increasing_id())
+        rows = rows.withColumn("ord", row_key(rows))
     return rows.withColumns({"dc_preferred": F.lit(True), "dc_flag": F.lit(""), "cofinancing_partner_id": F.lit("")})
 
 
@@ -134,7 +135,7 @@ def mark_multicountry(rows: DataFrame) -> DataFrame:
 def drop_exact_repeats(rows: DataFrame, ref: str = "match_reference_name") -> DataFrame:
     """The first of the rows that agree in all that identifies one; records without an id are never the same."""
     keys = [k for k in ("source", "source_record_id", "entity_name_clean", "amount_eur", "year", "country", ref) if k in rows.columns]
-    own = F.when(F.col("source_record_id").isNull(), F.col("ord")) if "source_record_id" in keys else F.lit(None).cast("bigint")
+    own = F.when(F.col("source_record_id").isNull(), F.col("ord")) if "source_record_id" in keys else F.lit(None)
     marked = rows.withColumn("_own", own)
     return marked.withColumn("_again", repeated([*keys, "_own"], ["ord"])).filter(~F.col("_again")).drop("_again", "_own")
 

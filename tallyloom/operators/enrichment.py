@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyloom import constants as K
 from tallyloom.config import Keywords
 from tallyloom.functions.amounts import allowance_price, match_probability
+from tallyloom.functions.rows import row_key
 from tallyloom.functions.text import any_pattern, clean_plain, found, grant_id, has, json_text, search_text
 
 # --- payments of research programmes and their projects' partners -------------------------------------------
@@ -98,7 +99,7 @@ def listed_participants(participants: DataFrame, names: DataFrame) -> DataFrame:
     shares all words with it where there are two or more. The list is short, so each participant is held against each name."""
     p = F.lower(F.trim(F.coalesce(F.col("company"), F.lit(""))))
     core = F.trim(F.regexp_replace(p, r"\([^)]*\)", ""))
-    rows = participants.withColumns({"_id": F.monotonically_increasing_id(), "_p": p, "_core": core, "_words": F.array_distinct(F.filter(F.split(core, r"\s+"), lambda w: w != ""))})
+    rows = participants.withColumns({"_id": row_key(participants), "_p": p, "_core": core, "_words": F.array_distinct(F.filter(F.split(core, r"\s+"), lambda w: w != ""))})
     listed = names.select(F.col("name").alias("_name"), F.col("ord").alias("_ord"), F.lower(F.trim("name")).alias("_n")).filter("_n <> ''").withColumn("_own", F.array_distinct(F.split("_n", r"\s+")))
     inside = lambda a, b: (F.col(a) != "") & (F.col(b) != "") & (F.col(a).contains(F.col(b)) | F.col(b).contains(F.col(a)))
     within = lambda a, b: (F.size(a) >= 2) & (F.size(F.array_except(a, b)) == 0)

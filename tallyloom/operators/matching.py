@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom import constants as K
 from tallyloom.config import MatchConfig
 from tallyloom.functions.likeness import token_set_score
+from tallyloom.functions.rows import row_key
 from tallyloom.functions.text import clean_name, json_fields, significant_tokens
 from tallyloom.operators.reference import context_terms, exact_lookup, raw_names, reference_countries, token_index
 
@@ -61,7 +62,7 @@ def text_hits(rows: DataFrame, key: str, text: Column, terms: DataFrame, longest
     words = rows.select(key, F.split(clean_name(text), " ").alias("words")).filter("size(words) > 0 AND words[0] <> ''")
     at = F.sequence(F.lit(1), F.size("words"))
     runs = F.flatten(F.transform(at, lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), F.size("words") - i + 1)), lambda n: F.struct(i.alias("at"), (-n).alias("less"), F.array_join(F.slice("words", i, n), " ").alias("term")))))
-    hits = words.select(key, F.explode(runs).alias("r")).select(key, "r.*").join(terms, "term")
+    hits = words.distinct().select(key, F.explode(runs).alias("r")).select(key, "r.*").join(terms, "term")
     return hits.groupBy(key).agg(F.min(F.struct("at", "less", "ref", "is_alias")).alias("h")).select(key, "h.ref", "h.is_alias")
 
 
@@ -78,7 +79,7 @@ def match_awards(awards: DataFrame, references: DataFrame, aliases: DataFrame, c
     false pattern is vetoed; texts may still claim both.
     """
     prefix = config.output_prefix
-    primary = awards.filter(F.lower(F.col("is_primary_record").cast("string")) == "true").withColumns({"_row": F.monotonically_increasing_id(), "_name": F.coalesce(F.col("entity_name_clean").cast("string"), F.lit(""))})
+    primary = awards.filter(F.lower(F.col("is_primary_record").cast("string")) == "true").withColumns({"_row": row_key(awards), "_name": F.coalesce(F.col("entity_name_clean").cast("string"), F.lit(""))})
     by_name = match_names(primary.select(F.col("_name").alias("name")), references, aliases, config)
     named = by_name.join(reference_countries(references), "ref", "left").select(F.col("name").alias("_name"), F.struct("ref", "score", "mtype", "notes", "countries").alias("_hit"))
     rows = primary.join(named, "_name", "left")
