@@ -1,0 +1,137 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tallyloom.operators import consolidation as C
+from tallyloom.operators import duplicates as D
+
+ROWS = "source string, source_record_id string, match_reference_name string, country string, year string, amount_eur double, programme string, fund string, entity_name_clean string, match_type string, sa_cofin_level string, sa_cofin_fund string, ord bigint"
+
+
+def row(ord, source, i, ref="A", country="DE", year="2020", amount=100.0, programme=None, fund=None, name="a", kind="exact", level=None, funds=None):
+    return (source, i, ref, country, year, amount, programme, fund, name, kind, level, funds, ord)
+
+
+def frame(spark, rows):
+    return D.with_marks(spark.createDataFrame(rows, ROWS))
+
+
+def marks(df):
+    return {r.ord: (r.dc_preferred, r.dc_flag, r.cofinancing_partner_id) for r in df.collect()}
+
+
+def test_payments_of_the_innovation_fund(spark):
+    rows = [
+        row(1, "FTS", "f1", amount=999.0, programme="Innovation Fund (IF)"), row(2, "FTS", "f2", amount=998.8, programme="Innovation Fund"), row(3, "FTS", "f3", ref="B", amount=1000.0, programme="innovation fund"),
+        row(4, "FTS", "f4", amount=1000.0, programme="other"), row(5, "INNOVFUND", "i1", amount=1000.0), row(6, "INNOVFUND", "i2", amount=1000.0), row(7, "FTS", "f5", amount=0.0, programme="innovation fund"),
+        row(8, "FTS", "c1", programme="Connecting Europe"), row(9, "FTS", "c2", programme="LIFE"), row(10, "CINEA", "c1", ref="Z", amount=5.0),
+    ]
+    got = marks(D.mark_repeated_payments(frame(spark, rows)))
+    assert got[1] == (False, "confirmed_duplicate:fts_innovfund", "i1")  # 0.1 % is near enough, the first award counts
+    assert got[8] == (False, "confirmed_duplicate:fts_cinea", "")
+    assert all(got[k] == (True, "", "") for k in (2, 3, 4, 5, 6, 7, 9, 10))
+
+
+@pytest.mark.parametrize(
+    ("other", "fires"),
+    [
+        ({"amount": 1.0}, True), ({"amount": 0.9}, False), ({"amount": 150.0}, True), ({"amount": 151.0}, False), ({"year": "2022"}, True), ({"year": "2023"}, False), ({"year": None}, True), ({"year": "x"}, True),
+        ({"ref": "B"}, False), ({"country": "FR"}, False), ({"fund": "ERDF"}, True), ({"fund": "national budget"}, False), ({"fund": ""}, True), ({"amount": None}, False), ({"amount": -5.0}, False),
+    ],
+)
+def test_cofinancing_bounds(spark, other, fires):
+    got = marks(D.mark_cofinancing(frame(spark, [row(1, "TAM", "t"), row(2, "KOHESIO", "k", **other)])))
+    assert got[1] == ((False, "cofinancing_overlap:tam_kohesio", "k") if fires else (True, "", "")) and got[2] == (True, "", "")
+
+
+def test_cofinancing_of_two_registers_and_unknown_countries(spark):
+    rows = [row(1, "TAM", "t", country=None), row(2, "KOHESIO", "k1", country=None), row(3, "KOHESIO", "k2", country=None), row(4, "RRF", "r", country=None, fund="anything"), row(5, "TAM", "t", ref="other")]
+    got = marks(D.mark_cofinancing(frame(spark, rows)))
+    both = (False, "cofinancing_overlap:tam_kohesio|cofinancing_overlap:tam_rrf", "r")
+    assert got[1] == both and got[5] == both  # all rows of a record share its mark
+
+
+def test_confirmed_funds(spark):
+    rows = [
+        row(1, "TAM", "t1", level="confirmed", funds="ERDF,ESF"), row(2, "TAM", "t2", ref="B", level="conditional", funds="ERDF"), row(3, "TAM", "t3", ref="C", level="confirmed", funds="ERDF"), row(4, "TAM", "t4", ref="D", level="confirmed", funds=""),
+        row(5, "KOHESIO", "k", fund="FEDER"), row(6, "CINEA", "c", fund=None), row(7, "FTS", "f", fund="Horizon"), *(row(8 + i, "KOHESIO", f"x{i}", ref=r, fund="ESF") for i, r in enumerate("BCD")),
+    ]
+    got = marks(D.mark_confirmed_funds(frame(spark, rows)))
+    assert got[1] == (False, "cofinancing_overlap:tam_cinea_pdf|cofinancing_overlap:tam_kohesio_pdf", "k")
+    assert all(got[k] == (True, "", "") for k in range(2, 11))
+    plain = spark.createDataFrame([(1,)], "x int")
+    assert D.mark_confirmed_funds(plain) is plain
+
+
+@pytest.mark.parametrize(("amount", "year", "fires"), [(125.0, "2022", True), (126.0, "2020", False), (80.0, "2020", True), (79.0, "2020", False), (100.0, "2023", False), (100.0, None, True)])
+def test_listed_projects(spark, amount, year, fires):
+    got = marks(D.mark_listed_projects(frame(spark, [row(1, "TAM", "t"), row(2, "IPCEI_state_aid", None, amount=amount, year=year)])))
+    assert got[1] == ((False, "confirmed_duplicate:ipcei_tam", "") if fires else (True, "", "")) and got[2][0]
+
+
+def test_one_record_in_many_countries(spark):
+    rows = [row(1, "KOHESIO", "k", country="DE"), row(2, "KOHESIO", "k", country="FR"), row(3, "RRF", "k", country="IT"), row(4, "KOHESIO", "k", amount=0.0), row(5, "KOHESIO", "k", amount=0.0), row(6, "KOHESIO", None), row(7, "KOHESIO", None), row(8, "KOHESIO", "k", name="b")]
+    got = marks(D.mark_multicountry(frame(spark, rows)))
+    assert [k for k, v in got.items() if v[1] == "same_record_multicountry"] == [2, 3] or {k for k, v in got.items() if not v[0]} == {2, 3}
+    assert all(got[k][0] for k in (1, 4, 5, 6, 7, 8))
+
+
+def test_exact_repeats(spark):
+    rows = [row(3, "TAM", "t"), row(1, "TAM", "t"), row(2, "TAM", "t", country="FR"), row(4, "IPCEI_state_aid", None), row(5, "IPCEI_state_aid", None), row(6, "TAM", "t", year=None), row(7, "TAM", "t", year=None)]
+    assert sorted(r.ord for r in D.drop_exact_repeats(frame(spark, rows)).collect()) == [1, 2, 4, 5, 6]
+
+
+def test_attribution(spark):
+    rows = [row(1, "FTS_CORDIS", "a", kind="fts_cordis_cordis_company"), row(2, "FTS_CORDIS", "b", kind="fts_cordis_company+topic"), row(3, "FTS_CORDIS", "c", kind="fts_cordis_topic_keyword"), row(4, "FTS_CORDIS", "d", kind="fts_cordis_beneficiary_name"), row(5, "FTS", "e", kind="contextual_exact"), row(6, "EIB", "f", kind="eib_title_extraction"), row(7, "TAM", "g", kind=None)]
+    got = {r.ord: (r.attribution_type, r.dc_preferred) for r in D.add_attribution(frame(spark, rows)).collect()}
+    assert got == {1: ("consortium_partner", False), 2: ("consortium_partner", False), 3: ("contextual", True), 4: ("direct", True), 5: ("contextual", True), 6: ("inferred", True), 7: ("direct", True)}
+
+
+def test_order_by_content_when_none_is_given(spark):
+    rows = [row(0, "KOHESIO", "k", country=c) for c in ("DE", "FR", "IT")]
+    plain = spark.createDataFrame(rows, ROWS).drop("ord")
+    one = {(r.country, r.dc_preferred) for r in D.mark_multicountry(D.with_marks(plain)).collect()}
+    assert one == {(r.country, r.dc_preferred) for r in D.mark_multicountry(D.with_marks(plain.repartition(3))).collect()}
+    assert sum(p for _, p in one) == 1
+
+
+def test_quality(spark):
+    rows = [("FTS", "Samsung SDI GmbH", "description", "Tablets for schools", None), ("FTS", "Samsung SDI GmbH", "description", "SAMSUNG Europe", None), ("EIB", "Samsung", "description", "x", None), ("FTS", "SA AG", "description", "x", None), ("FTS", "Samsung", "entity_name", "x", "cordis_consortium"), ("KOHESIO", "Samsung", "description", None, None)]
+    df = spark.createDataFrame(rows, "source string, match_reference_name string, match_matched_on string, beneficiary_name string, match_quality string")
+    assert [r.match_quality for r in C.add_quality(df).collect()] == ["suspect_description_only", "confirmed", "confirmed", "confirmed", "cordis_consortium", "suspect_description_only"]
+
+
+def test_grant_equivalent(spark):
+    df = spark.createDataFrame([("loan", 100.0, None), ("loan", 100.0, 40.0), ("grant", 0.0, 5.0), ("x", None, None)], "financial_instrument_class string, amount_eur double, amount_gge_eur double")
+    assert [(r.amount_gge, r.gge_rate) for r in C.add_grant_equivalent(df).collect()] == [(15.0, 0.15), (40.0, 0.4), (5.0, None), (None, 1.0)]
+
+
+def test_parent_groups(spark):
+    members = C.group_members(spark, {"VW": ["volkswagen", "audi"], "Other": ["audi sport", "wagen"]})
+    names = spark.createDataFrame([("Volkswagen AG",), ("Audi Sport GmbH",), ("Audi",), ("AG",), ("Ford",), (None,)], "name string")
+    assert {r.name: r.parent_group for r in C.parent_groups(names, members).collect()} == {"Volkswagen AG": "VW", "Audi Sport GmbH": "Other", "Audi": "Other", "AG": "AG", "Ford": "Ford"}
+
+
+def test_origin(spark):
+    listed = spark.createDataFrame([("Volkswagen ag", "de"), ("CATL", "CN"), ("Nowhere", None)], "company_name string, hq_country string")
+    rows = spark.createDataFrame([("VOLKSWAGEN AG",), ("CATL",), ("NOWHERE",), ("X",)], "match_reference_name string")
+    got = {r.match_reference_name: (r.hq_country, r.origin_block) for r in C.add_origin(rows, listed).collect()}
+    assert got == {"VOLKSWAGEN AG": ("DE", "EU"), "CATL": ("CN", "CN"), "NOWHERE": ("Unknown", "Unknown"), "X": ("Unknown", "Unknown")}
+
+
+def test_integration(spark):
+    core = spark.createDataFrame([("FTS", "1", "A", 1.0, "exact", 100.0, "x"), ("EIB", "9", "A", 1.0, "exact", 100.0, "x")], "source string, source_record_id string, match_reference_name string, amount_eur double, match_type string, match_score double, flow_stage string")
+    bridge = spark.createDataFrame(
+        [("1", "BMW", "", "beneficiary_name", 5.0), ("2", "Uni*Lab", "x|BMW AG|y", "cordis_company", 5.0), ("3", "Uni*Lab", "", "cordis_company", 5.0), ("4", "New Name*Lab", "", "beneficiary_name", 5.0), ("5", "Uni", "", "topic_keyword", 5.0), ("6", "bmw", "", "company+topic", 5.0)],
+        "source_record_id string, beneficiary_name string, company_names string, signal string, amount_eur double",
+    )
+    promoters = spark.createDataFrame([("9", 1.0), ("10", 2.0)], "source_record_id string, amount_eur double")
+    projects = spark.createDataFrame([("BMW AG", "bmw", 7.0), ("None", "none", 0.0)], "company string, matched_company string, amount_eur double")
+    parts = C.integrate(core, r"(?i)\b(bmw)\b", bridge, promoters, projects)
+    got = {(r.source, r.source_record_id): (r.match_reference_name, r.match_type, r.match_score, r.match_quality, r.flow_stage) for r in parts["combined"].collect()}
+    assert got[("FTS_CORDIS", "2")] == ("BMW", "fts_cordis_cordis_company", 90.0, "cordis_consortium", "unknown")
+    assert got[("FTS_CORDIS", "4")][0] == "New Name" and got[("FTS_CORDIS", "6")][1:3] == ("fts_cordis_company+topic", 95.0)
+    assert got[("EIB", "10")][3:] == (None, None) and got[("IPCEI_state_aid", None)][:3] == ("bmw", "ipcei_reference", 100.0)
+    assert set(got) == {("FTS", "1"), ("EIB", "9"), ("FTS_CORDIS", "2"), ("FTS_CORDIS", "4"), ("FTS_CORDIS", "6"), ("EIB", "10"), ("IPCEI_state_aid", None)}
+    stats = C.integration_stats(parts, spark.createDataFrame([(3.0,)], "total_eur_free double"))
+    assert stats["fts_cordis"] == {"rows": 3, "eur": 15.0} and stats["ets"]["eur"] == 3.0
+    assert parts["combined"].filter(F.col("source") == "ETS").count() == 0
