@@ -10,7 +10,7 @@ key in common are candidates. Candidates meet the bounds of size and signature d
 
 Pairs are never written out. Documents with equal sets form one class, and one of them stands for it. In a bucket of one key, each
 class is compared by signature with the bucket's smallest; pairs within the distance give groups of classes. Where a bucket still holds several groups,
-the smallest of them is a hub and the others are its partners; the classes of a hub and of all its partners are compared by signature, a bounded block of them with another at
+the largest of them is a hub and the others are its partners; the classes of a hub and of all its partners are compared by signature, a bounded block of them with another at
 a time, each pair once however many buckets it shares, and only what joins two groups goes on. So every pair within the distance that has a key in common ends in one group. Then the full sets of a group are compared, again a
 block with another at a time. A class that is not yet linked to the largest component of its block meets all others there, so a large family of
 near copies takes a few rounds and only its stragglers meet everyone; what goes on is at most one link for each class and block. What is kept between
@@ -316,11 +316,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
 
 def _between_groups(buckets: DataFrame, sized: DataFrame, groups: DataFrame) -> DataFrame:
     """Pairs (a, b) of different groups that share a bucket and are near enough by size and signature, as many as join the groups."""
-    named = groups.select("node", F.col("root").alias("group"))
-    held = buckets.filter("many").select("key", "node").join(named, "node", "left").select("key", F.coalesce("group", "node").alias("group")).distinct()
-    split = held.groupBy("key").agg(F.min("group").alias("hub"), F.max("group").alias("high")).filter("hub <> high").select("key", "hub")
+    members = groups.select("node", F.col("root").alias("group")).unionByName(groups.select(F.col("root").alias("node"), F.col("root").alias("group")).distinct())
+    named = members.join(members.groupBy("group").agg(F.count("*").alias("of")), "group")
+    held = buckets.filter("many").select("key", "node").join(named, "node", "left").select("key", F.coalesce("group", "node").alias("group"), F.coalesce("of", F.lit(1)).alias("of")).distinct()
+    split = held.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.max(F.struct("of", "group")).alias("most")).filter("low <> high").select("key", F.col("most.group").alias("hub"))
     partners = held.join(split, "key").select("hub", "group").distinct()
-    classes = sized.join(named, "node", "left").withColumn("group", F.coalesce("group", "node"))
+    classes = sized.join(named.drop("of"), "node", "left").withColumn("group", F.coalesce("group", "node"))
     mixed = classes.join(partners, "group")
     sizes = mixed.groupBy("hub").agg(F.count("*").alias("size"))
     blocks = F.least(F.ceil(F.col("size") / SET_BLOCK), F.lit(MOST_BLOCKS))
