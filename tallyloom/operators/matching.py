@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom import constants as K
 from tallyloom.config import MatchConfig
 from tallyloom.functions.likeness import token_set_score
+from tallyloom.functions.lineage import settled
 from tallyloom.functions.rows import row_key
 from tallyloom.functions.text import clean_name, json_fields, significant_tokens
 from tallyloom.operators.reference import context_terms, exact_lookup, raw_names, reference_countries, token_index
@@ -80,14 +81,15 @@ def match_awards(awards: DataFrame, references: DataFrame, aliases: DataFrame, c
     """
     prefix = config.output_prefix
     primary = awards.filter(F.lower(F.col("is_primary_record").cast("string")) == "true").withColumns({"_row": row_key(awards), "_name": F.coalesce(F.col("entity_name_clean").cast("string"), F.lit(""))})
-    by_name = match_names(primary.select(F.col("_name").alias("name")), references, aliases, config)
+    references = settled(references)  # small, and used by every layer
+    by_name = settled(match_names(primary.select(F.col("_name").alias("name")), references, aliases, config))  # distinct names that match
     named = by_name.join(reference_countries(references), "ref", "left").select(F.col("name").alias("_name"), F.struct("ref", "score", "mtype", "notes", "countries").alias("_hit"))
     rows = primary.join(named, "_name", "left")
     country = F.upper(F.trim(F.coalesce(F.col("country"), F.lit(""))))
     strange = (F.col("_hit.mtype") == "fuzzy_medium") & (country != "") & (F.size("_hit.countries") > 0) & ~F.array_contains("_hit.countries", country)
     rows = rows.withColumn("_hit", F.when(F.col("_hit").isNotNull() & ~strange, F.col("_hit"))).withColumn("_vetoed", _vetoed(config))
 
-    terms = context_terms(references, aliases, config)
+    terms = settled(context_terms(references, aliases, config))
     longest = longest_term(terms)
     searched = F.col("source").isin(sorted(config.layer_b_sources))
     open_rows = rows.filter(F.col("_hit").isNull() | F.col("_vetoed"))

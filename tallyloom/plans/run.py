@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyloom import constants as K
 from tallyloom.config import RunConfig, read_aliases
+from tallyloom.functions.lineage import settled
 from tallyloom.functions.text import phrase_pattern
 from tallyloom.operators import cases, consolidation, duplicates, enrichment, evidence, matching, reference, tables
 from tallyloom.sources import readers, writers
@@ -43,12 +44,12 @@ def consolidate(matched: DataFrame, config: RunConfig = RunConfig(), companies:
     rows = matched.withColumn(ref, F.upper(F.trim(ref)))
     if evidence_by_case is not None:
         rows = evidence.add_case_evidence(cases.with_case_code(rows), evidence_by_case)
-    rows = duplicates.with_marks(rows)
-    rows = duplicates.mark_repeated_payments(rows, ref)
-    rows = duplicates.mark_cofinancing(rows, ref)
-    rows = duplicates.mark_confirmed_funds(rows, ref)
-    rows = duplicates.mark_multicountry(rows)
-    rows = duplicates.mark_listed_projects(rows, ref)
+    # each rule meets the rows with themselves, so the rows are settled before each
+    rows = settled(duplicates.with_marks(rows))
+    for rule in (duplicates.mark_repeated_payments, duplicates.mark_cofinancing, duplicates.mark_confirmed_funds):
+        rows = settled(rule(rows, ref))
+    rows = settled(duplicates.mark_multicountry(rows))
+    rows = settled(duplicates.mark_listed_projects(rows, ref))
     rows = duplicates.add_attribution(rows, prefix)
     rows = consolidation.add_grant_equivalent(consolidation.add_quality(rows, prefix))
     if config.parent_groups:
@@ -59,13 +60,13 @@ def consolidate(matched: DataFrame, config: RunConfig = RunConfig(), companies:
 
 
 def run(inputs: Inputs, config: RunConfig = RunConfig()) -> dict[str, DataFrame]:
-    """Every result table by name, none computed yet. A part of enrichment that can't be planned is logged and left out."""
+    """Every result table by name. Matches and marks are computed, and kept in the checkpoint folder; the tables over them aren't yet. A part of enrichment that fails to plan is logged and left out."""
     spark, prefix = inputs.awards.sparkSession, config.match.output_prefix
     ref = f"{prefix}_reference_name"
     aliases = reference.alias_table(spark, inputs.aliases)
     references = reference.reference_list(inputs.companies, aliases, config.match)
     matched = matching.match_awards(inputs.awards, references, aliases, config.match)
-    logged = matching.match_log(matched, prefix)
+    logged = settled(matching.match_log(matched, prefix))
     names = enrichment.company_names(inputs.companies, inputs.aliases)
     companies, topics = phrase_pattern(names), phrase_pattern(config.keywords.topics)
     out = {"enriched": matched.filter(F.col(f"{prefix}_flag")), "match_log": logged}
@@ -110,7 +111,7 @@ def run(inputs: Inputs, config: RunConfig = RunConfig()) -> dict[str, DataFrame]
     pattern = phrase_pattern(names, 4, K.PHRASE_BLOCKLIST)
     joined = consolidation.integrate(logged, pattern, parts.get("bridge"), inputs.promoters, parts.get("projects"), prefix)["combined"]
     by_case = evidence.case_evidence(inputs.case_documents) if inputs.case_documents is not None else None
-    rows = consolidate(joined, config, inputs.companies, by_case)
+    rows = settled(consolidate(settled(joined), config, inputs.companies, by_case))
     kept = rows.filter("dc_preferred")
     out |= tables.summary_tables(kept, ref)
     if "parent_group" in rows.columns:
