@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm.chat_format import op3_chat_formatting
+from tallyloom.llm.chat_format import OP3_SQL, op3_chat_formatting
 from tallyloom.llm.decontamination import op1_decontamination
 from tallyloom.llm.language_id import op7_language_id
 from tallyloom.llm.license_scan import op4_license_scan
@@ -30,4 +30,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
 }
 
-SQL: dict[str, str] = {"op8_line_dedup": OP8_SQL}
+SQL: dict[str, str] = {"op3_chat_formatting": OP3_SQL, "op8_line_dedup": OP8_SQL}

@@ -2,6 +2,7 @@ import hashlib
 from collections import defaultdict
 
 import pytest
+from oracle import assert_same
 
 from tallyloom.llm import chat_format as C
 
@@ -83,3 +84,8 @@ def test_long_repeated_and_extra_columns(spark):
     df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string, piece string")
     (r,) = C.digest(C.render(C.reconstruct(C.as_log(df)))).collect()
     assert (r.n_turns, r.loss_chars, r.loss_sha256) == (3, 2 * len(long), hashlib.sha256((long * 2).encode()).hexdigest())
+
+
+def test_query_against_sql(spark, sf_dir):
+    path = sf_dir.replace("sf0.001", "sf0.01")
+    assert_same(C.op3_chat_formatting(spark, path), path, C.OP3_SQL)
