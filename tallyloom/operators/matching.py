@@ -55,23 +55,20 @@ def match_names(names: DataFrame, references: DataFrame, aliases: DataFrame, con
     return exact.unionByName(likely_matches(distinct.join(exact, "name", "left_anti"), references, config))
 
 
-def text_hits(rows: DataFrame, key: str, text: Column, terms: DataFrame, longest: int) -> DataFrame:
+def text_hits(rows: DataFrame, key: str, text: Column, terms: DataFrame) -> DataFrame:
     """key, ref, is_alias of the first term in each clean text: the leftmost, of those at one place the longest.
 
-    Clean texts and terms are words joined by single blanks, so a term is in a text if it is one of the text's runs of up to longest words.
+    Clean texts and terms are words joined by single blanks, so a term is in a text if it is one of the text's runs of words. Only places whose word begins
+    some term are looked at, and only up to the longest term that begins so.
     """
-    words = rows.select(key, F.split(clean_name(text), " ").alias("words")).filter("size(words) > 0 AND words[0] <> ''")
-    at = F.sequence(F.lit(1), F.size("words"))
-    runs = F.flatten(F.transform(at, lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(longest), F.size("words") - i + 1)), lambda n: F.struct(i.alias("at"), (-n).alias("less"), F.array_join(F.slice("words", i, n), " ").alias("term")))))
-    hits = words.distinct().select(key, F.explode(runs).alias("r")).select(key, "r.*").join(terms, "term")
+    heads = terms.groupBy(F.split("term", " ")[0].alias("head")).agg(F.max(F.size(F.split("term", " "))).alias("most"))
+    words = rows.select(key, F.split(clean_name(text), " ").alias("words")).filter("words[0] <> ''").distinct()
+    at = words.select(key, "words", F.posexplode("words").alias("at", "head")).join(heads, "head")
+    runs = F.transform(F.sequence(F.lit(1), F.least("most", F.size("words") - F.col("at"))), lambda n: F.struct((-n).alias("less"), F.array_join(F.slice("words", F.col("at") + 1, n), " ").alias("term")))
+    hits = at.select(key, "at", F.explode(runs).alias("r")).select(key, "at", "r.*").join(terms, "term")
     return hits.groupBy(key).agg(F.min(F.struct("at", "less", "ref", "is_alias")).alias("h")).select(key, "h.ref", "h.is_alias")
 
 
-def longest_term(terms: DataFrame) -> int:
-    """Words in the longest term; one small aggregate."""
-    return terms.agg(F.max(F.size(F.split("term", " ")))).first()[0] or 1
-
-
 def match_awards(awards: DataFrame, references: DataFrame, aliases: DataFrame, config: MatchConfig = MatchConfig()) -> DataFrame:
     """The primary records of awards with the columns <prefix>_flag, _score, _type, _matched_on, _reference_name and _notes.
 
@@ -90,7 +87,6 @@ def match_awards(awards: DataFrame, references: DataFrame, aliases: DataFrame, c
     rows = rows.withColumn("_hit", F.when(F.col("_hit").isNotNull() & ~strange, F.col("_hit"))).withColumn("_vetoed", _vetoed(config))
 
     terms = settled(context_terms(references, aliases, config))
-    longest = longest_term(terms)
     searched = F.col("source").isin(sorted(config.layer_b_sources))
     open_rows = rows.filter(F.col("_hit").isNull() | F.col("_vetoed"))
     layers: list[tuple[DataFrame, float, float, str, str, str]] = [
@@ -105,7 +101,7 @@ def match_awards(awards: DataFrame, references: DataFrame, aliases: DataFrame, c
     if config.context_scan_entity_name:
         layers.append((open_rows.select("_row", F.col("entity_name_raw").alias("_text")), 93.0, 90.0, "contextual_entity_name", "entity_name_raw", "entity_name"))
     found = [
-        text_hits(texts, "_row", F.col("_text"), terms, longest).select(
+        text_hits(texts, "_row", F.col("_text"), terms).select(
             "_row", F.struct(F.lit(i).alias("layer"), "ref", F.when(F.col("is_alias"), alias).otherwise(own).alias("score"), F.lit(kind).alias("mtype"),
             F.concat(F.when(F.col("is_alias"), "alias_").otherwise(""), F.lit(f"match_in_{where}")).alias("notes"), F.lit(on).alias("on")).alias("_text_hit"))
         for i, (texts, own, alias, kind, on, where) in enumerate(layers)

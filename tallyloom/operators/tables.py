@@ -120,3 +120,13 @@ def headline(rows: DataFrame, ref: str = "match_reference_name") -> DataFrame:
     base = rows.agg(total("amount_eur", "total_face_eur"), *gge, F.count("*").alias("n_relations"), F.countDistinct(ref).alias("n_beneficiaries"), F.min(year).alias("year_min"), F.max(year).alias("year_max"))
     best = rows.filter(F.col(ref).isNotNull()).groupBy(ref).agg(total("amount_eur", "eur")).agg(F.max(F.struct("eur", F.col(ref).alias("name"))).alias("b"))
     return base.crossJoin(best).select(*base.columns, F.coalesce("b.name", F.lit("")).alias("top_beneficiary"), F.coalesce("b.eur", F.lit(0.0)).alias("top_beneficiary_eur"))
+
+
+def ranked_bars(table: DataFrame, label: str, value: str = "total_eur", n: int = 15) -> DataFrame:
+    """What a chart of the largest n shows: known labels and amounts above zero, the largest first."""
+    return table.filter(F.col(label).isNotNull() & (F.col(value) > 0)).select(label, value).orderBy(F.desc(value), label).limit(n)
+
+
+def year_bars(table: DataFrame, value: str = "total_eur") -> DataFrame:
+    """What a chart by year shows: known years in order."""
+    return table.withColumn("year", whole(F.col("year"))).filter("year IS NOT NULL").select("year", value).orderBy("year")

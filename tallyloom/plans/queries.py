@@ -139,6 +139,16 @@ def headline(spark, d):
     return tables.headline(awards(spark, d), REF).drop("total_gge_eur")
 
 
+@query(f" SELECT country, {MONEY} AS total_eur FROM awards GROUP BY country ORDER BY total_eur DESC, country LIMIT 15")
+def chart_countries(spark, d):
+    return tables.ranked_bars(tables.breakdown(awards(spark, d), ["country"]), "country")
+
+
+@query(f" SELECT year, {MONEY} AS total_eur FROM awards GROUP BY year")
+def chart_years(spark, d):
+    return tables.year_bars(tables.breakdown(awards(spark, d), ["year"]))
+
+
 # --- names and texts ----------------------------------------------------------------------------------------
 
 _FORMS = "regexp_replace(lower(coalesce({c}, '')), '\\b(?:" + "|".join(K.LEGAL_FORMS).replace("{", "{{").replace("}", "}}") + ")\\b\\.?', ' ', 'g')"
@@ -203,7 +213,7 @@ def text_matching(spark, d):
     first = F.lower(F.regexp_extract("text", "^([A-Za-z]+ [a-z]+ [a-z]+)", 1)).alias("term")
     terms = table(spark, d, "benchmark").filter(F.col("text").rlike("^[A-Za-z]+ [a-z]+ [a-z]+ ")).select(first).distinct().select("term", F.col("term").alias("ref"), F.lit(False).alias("is_alias"))
     docs = table(spark, d, "documents").filter((F.col("lang") == "en") & ~F.col("text").rlike(r"[^\x00-\x7F(){}]") & ~F.col("text").contains("("))
-    return matching.text_hits(docs, "doc_id", F.col("text"), terms, 3).select("doc_id", "ref")
+    return matching.text_hits(docs, "doc_id", F.col("text"), terms).select("doc_id", "ref")
 
 
 @query(

@@ -117,7 +117,7 @@ def test_text_hits_against_longest_first_pattern(spark):
     terms = ["alpha", "alpha beta", "beta gamma", "gamma", "delta alpha beta"]
     table = spark.createDataFrame([(t, t, False) for t in terms], "term string, ref string, is_alias boolean")
     texts = [(i, " ".join(rng.choices(["alpha", "beta", "gamma", "delta", "x"], k=rng.randrange(0, 9)))) for i in range(200)]
-    got = {r.i: r.ref for r in M.text_hits(spark.createDataFrame(texts, "i int, t string"), "i", F.col("t"), table, 3).collect()}
+    got = {r.i: r.ref for r in M.text_hits(spark.createDataFrame(texts, "i int, t string"), "i", F.col("t"), table).collect()}
     pattern = re.compile(r"\b(" + "|".join(sorted(terms, key=len, reverse=True)) + r")\b")
     assert got == {i: m.group(1) for i, t in texts if (m := pattern.search(t))}
 
