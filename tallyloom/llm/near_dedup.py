@@ -9,9 +9,9 @@ ERRORS differing slots, so for some choice of ERRORS masked slots the others agr
 key in common are candidates. Candidates meet the bounds of size and signature distance, then the full sets are compared.
 
 Pairs are never written out. Documents with equal sets form one class, and one of them stands for it. In a bucket of one key, each
-class is compared by signature with the bucket's smallest; pairs within the distance give groups of classes. Where a bucket still holds several groups,
-the largest of them is a hub and the others are its partners; the classes of a hub and of all its partners are compared by signature, a bounded block of them with another at
-a time, each pair once however many buckets it shares, and only what joins two groups goes on. So every pair within the distance that has a key in common ends in one group. Then the full sets of a group are compared, again a
+class is compared by signature with the bucket's first (in one of LEADS orders by hash, so that a large family is led by several of its members); pairs within the distance give groups of classes. Buckets that still hold several groups are
+looked at again, where classes of different groups are compared, a bounded block of them with another at a time, and only what joins two groups
+goes on; so every pair within the distance that has a key in common ends in one group. Then the full sets of a group are compared, again a
 block with another at a time. A class that is not yet linked to the largest component of its block meets all others there, so a large family of
 near copies takes a few rounds and only its stragglers meet everyone; what goes on is at most one link for each class and block. What is kept between
 steps is written to the checkpoint folder.
@@ -38,7 +38,11 @@ CHUNKS, CHUNK, ERRORS, BITS = 10, 7, 2, 16
 SLOTS = CHUNKS * CHUNK
 #: The pigeonhole bound: one more, and every chunk could have more than ERRORS.
 DISTANCE = CHUNKS * (ERRORS + 1) - 1
-#: A hub or group is cut into blocks of so many classes, but into no more than MOST_BLOCKS unless a block would hold more than BLOCK_SHINGLES.
+#: Orders in which buckets are led.
+LEADS = 8
+#: Classes of a bucket that are compared with as many others by signature at a time.
+BLOCK = 2048
+#: A group is cut into blocks of so many classes, but into no more than MOST_BLOCKS unless a block would hold more than BLOCK_SHINGLES.
 SET_BLOCK, MOST_BLOCKS, BLOCK_SHINGLES = 128, 32, 1_000_000
 
 _U = np.uint64
@@ -123,7 +127,7 @@ def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by key and node. Those of keys with several nodes go on, with the key's first node and whether there are more than two.
+    """Rows come sorted by key and an order of their nodes. Those of keys with several nodes go on, with the key's first node and whether there are more than two.
 
     A run's first two rows wait for the third, everything else passes at once.
     """
@@ -217,7 +221,7 @@ def _one(column: pa.ChunkedArray) -> pa.Array:
 def _bridges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of nodes near enough by signature that join two groups which the task has not joined before."""
     joined = _Union()
-    for rows in _tiles(batches, ("hub", "left", "right")):
+    for rows in _tiles(batches, ("key", "left", "right")):
         node, group, n, half = (rows.column(x).to_numpy() for x in ("node", "group", "n", "half"))
         sig = _sigs(_one(rows.column("sig")))
         two = rows.column("left")[0].as_py() != rows.column("right")[0].as_py()
@@ -296,7 +300,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     classes = checkpointed(real.groupBy("n", "set1", "set2").agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig")))
 
     spelled = classes.filter("n >= 4").select("node", "sig").mapInArrow(_spell, "node bigint, keys array<bigint>")
-    dealt = spelled.select(F.explode("keys").alias("key"), "node").repartition("key").sortWithinPartitions("key", "node")
+    dealt = spelled.select(F.explode("keys").alias("key"), "node").repartition("key").sortWithinPartitions("key", F.xxhash64("node", F.pmod("key", F.lit(LEADS))))
     buckets = written(dealt.mapInArrow(_runs, "key bigint, node bigint, lead bigint, many boolean"), "buckets")
     sized = classes.select("node", "n", "sig")
     a, b = (sized.select(*(F.col(c).alias(f"{c}_{x}" if c != "node" else x) for c in sized.columns)) for x in "ab")
@@ -316,16 +320,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
 
 def _between_groups(buckets: DataFrame, sized: DataFrame, groups: DataFrame) -> DataFrame:
     """Pairs (a, b) of different groups that share a bucket and are near enough by size and signature, as many as join the groups."""
-    members = groups.select("node", F.col("root").alias("group")).unionByName(groups.select(F.col("root").alias("node"), F.col("root").alias("group")).distinct())
-    named = members.join(members.groupBy("group").agg(F.count("*").alias("of")), "group")
-    held = buckets.filter("many").select("key", "node").join(named, "node", "left").select("key", F.coalesce("group", "node").alias("group"), F.coalesce("of", F.lit(1)).alias("of")).distinct()
-    split = held.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.max(F.struct("of", "group")).alias("most")).filter("low <> high").select("key", F.col("most.group").alias("hub"))
-    partners = held.join(split, "key").select("hub", "group").distinct()
-    classes = sized.join(named.drop("of"), "node", "left").withColumn("group", F.coalesce("group", "node"))
-    mixed = classes.join(partners, "group")
-    sizes = mixed.groupBy("hub").agg(F.count("*").alias("size"))
-    blocks = F.least(F.ceil(F.col("size") / SET_BLOCK), F.lit(MOST_BLOCKS))
-    return _tiled(mixed.join(sizes, "hub"), "hub", blocks, "group", "n", "sig").mapInArrow(_bridges, "a bigint, b bigint")
+    named = groups.select("node", F.col("root").alias("group"))
+    grouped = buckets.filter("many").select("key", "node").join(named, "node", "left").select("key", "node", F.coalesce("group", "node").alias("group"))
+    split = grouped.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("size")).filter("low <> high").select("key", "size")
+    mixed = grouped.join(split, "key").join(sized, "node")
+    return _tiled(mixed, "key", F.ceil(F.col("size") / BLOCK), "group", "n", "sig").mapInArrow(_bridges, "a bigint, b bigint")
 
 
 def _links(docs: DataFrame, classes: DataFrame, groups: DataFrame, shingle: int, percent: int) -> DataFrame:
