@@ -263,7 +263,7 @@ def without_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, with_te
 
     same = rows.filter("text IS NOT NULL").groupBy("t64", F.length("text").alias("chars")).agg(F.count("*").alias("n"), F.min("did").alias("first")).filter("n > 1")
     copies = rows.filter("text IS NOT NULL").select("did", "th", "t64", F.length("text").alias("chars")).distinct().join(same, ["t64", "chars"]).select(*keys, F.struct("n", "first").alias("copies"))
-    first_only = flagged.join(copies, keys, "left").filter(F.col("copies").isNull() | (F.col("copies.first") == F.col("did"))).select(*keys, "places", "any_hot", "all_hot")
+    first_only = written(flagged.join(copies, keys, "left").filter(F.col("copies").isNull() | (F.col("copies.first") == F.col("did"))).select(*keys, "places", "any_hot", "all_hot"), "places")  # two kinds of windows are made of it
 
     dealt = rows.select("doc_id", "text", *keys).repartition(*keys)
     looked = dealt.join(first_only, keys)  # repeated rows double their windows, which are repeated anyway
