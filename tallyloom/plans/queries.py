@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom import constants as K
 from tallyloom.config import Keywords, MatchConfig
-from tallyloom.functions.amounts import allowance_price, country_block, grant_rate, match_probability, relative_difference
+from tallyloom.functions.amounts import allowance_price, country_block, match_probability, relative_difference
 from tallyloom.functions.text import case_code, clean_name, clean_plain, grant_id, has, json_fields, phrase_pattern, significant_tokens, with_flag
 from tallyloom.operators import consolidation, duplicates, enrichment, evidence, matching, reference, tables
 from tallyloom.plans.awards import AWARDS_SQL, awards, table

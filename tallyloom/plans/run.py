@@ -102,8 +102,11 @@ def run(inputs: Inputs, config: RunConfig = RunConfig()) -> dict[str, DataFrame]
         out["highvalue_analysis"] = found = enrichment.forensics(rest, companies, config.keywords, config.nace_filter)
         out.update(highvalue_new_matches=enrichment.new_candidates(found), unmatched_by_source=enrichment.unmatched_statistics(rest))
 
+    def case_tables() -> None:
+        out.update(case_projects=cases.interest_projects(inputs.cases), case_expenditures=cases.expenditures(inputs.cases), case_documents=cases.document_links(inputs.cases), case_metadata=cases.case_metadata(inputs.cases))
+
     for name, of, needed in (
-        ("bridge", bridge, inputs.participants), ("allowances", allowances, inputs.compliance), ("projects", projects, inputs.projects), ("mining", mining, True), ("forensics", forensics, True),
+        ("bridge", bridge, inputs.participants), ("allowances", allowances, inputs.compliance), ("projects", projects, inputs.projects), ("mining", mining, True), ("forensics", forensics, True), ("cases", case_tables, inputs.cases),
     ):
         if needed is not None:
             attempt(name, of)
