@@ -10,7 +10,7 @@ key in common are candidates. Candidates meet the bounds of size and signature d
 
 Pairs are never written out. Documents with equal sets form one class, and one of them stands for it. In a bucket of one key, each
 class is compared by signature with the bucket's first (in one of LEADS orders by hash, so that a large family is led by several of its members); pairs within the distance give groups of classes. Buckets that still hold several groups are
-looked at again, where classes of different groups are compared, a bounded block of them with another at a time, and only what joins two groups
+looked at again, in the bucket or where a group meets all its neighbours: classes of different groups are compared, a bounded block of them with another at a time, and only what joins two groups
 goes on; so every pair within the distance that has a key in common ends in one group. Then the full sets of a group are compared, again a
 block with another at a time. A class that is not yet linked to the largest component of its block meets all others there, so a large family of
 near copies takes a few rounds and only its stragglers meet everyone; what goes on is at most one link for each class and block. What is kept between
@@ -221,7 +221,7 @@ def _one(column: pa.ChunkedArray) -> pa.Array:
 def _bridges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of nodes near enough by signature that join two groups which the task has not joined before."""
     joined = _Union()
-    for rows in _tiles(batches, ("key", "left", "right")):
+    for rows in _tiles(batches, ("place", "left", "right")):
         node, group, n, half = (rows.column(x).to_numpy() for x in ("node", "group", "n", "half"))
         sig = _sigs(_one(rows.column("sig")))
         two = rows.column("left")[0].as_py() != rows.column("right")[0].as_py()
@@ -319,12 +319,30 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
 
 
 def _between_groups(buckets: DataFrame, sized: DataFrame, groups: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different groups that share a bucket and are near enough by size and signature, as many as join the groups."""
-    named = groups.select("node", F.col("root").alias("group"))
-    grouped = buckets.filter("many").select("key", "node").join(named, "node", "left").select("key", "node", F.coalesce("group", "node").alias("group"))
-    split = grouped.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("size")).filter("low <> high").select("key", "size")
-    mixed = grouped.join(split, "key").join(sized, "node")
-    return _tiled(mixed, "key", F.ceil(F.col("size") / BLOCK), "group", "n", "sig").mapInArrow(_bridges, "a bigint, b bigint")
+    """Pairs (a, b) of different groups that share a bucket and are near enough by size and signature, as many as join the groups.
+
+    Classes meet bucket by bucket, or at hubs: the largest group of each such bucket with all groups that it shares one with, where a pair meets
+    once however many buckets it shares. Both compare all pairs that share a bucket; the one that deals out fewer rows is taken.
+    """
+    members = groups.select("node", F.col("root").alias("group")).unionByName(groups.select(F.col("root").alias("node"), F.col("root").alias("group")).distinct())
+    named = members.join(members.groupBy("group").agg(F.count("*").alias("of")), "group")
+    grouped = buckets.filter("many").select("key", "node").join(named, "node", "left").select("key", "node", F.coalesce("group", "node").alias("group"), F.coalesce("of", F.lit(1)).alias("of"))
+    held = grouped.groupBy("key", "group", "of").agg(F.count("*").alias("rows"))
+    most = held.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.max(F.struct("of", "group")).alias("most"), F.sum("rows").alias("size"))
+    split = checkpointed(most.filter("low <> high").select("key", F.col("most.group").alias("hub"), "size"))
+    partners = checkpointed(held.join(split, "key").groupBy("hub", "group").agg(F.max("of").alias("of")))
+    sizes = partners.groupBy("hub").agg(F.sum("of").alias("size"))
+    hub_blocks = F.greatest(F.least(F.ceil(F.col("size") / SET_BLOCK), F.lit(MOST_BLOCKS)), F.lit(1))
+    by_bucket = split.agg(F.coalesce(F.sum(F.col("size") * F.ceil(F.col("size") / BLOCK)), F.lit(0))).first()[0]
+    by_hub = sizes.agg(F.coalesce(F.sum(F.col("size") * hub_blocks), F.lit(0))).first()[0]
+    if by_hub < by_bucket:
+        classes = sized.join(named.drop("of"), "node", "left").withColumn("group", F.coalesce("group", "node"))
+        mixed = classes.join(partners.select("hub", "group"), "group").join(sizes, "hub").withColumnRenamed("hub", "place")
+        tiles = _tiled(mixed, "place", hub_blocks, "group", "n", "sig")
+    else:
+        mixed = grouped.join(split.select("key", "size"), "key").join(sized, "node").withColumnRenamed("key", "place")
+        tiles = _tiled(mixed, "place", F.ceil(F.col("size") / BLOCK), "group", "n", "sig")
+    return tiles.mapInArrow(_bridges, "a bigint, b bigint")
 
 
 def _links(docs: DataFrame, classes: DataFrame, groups: DataFrame, shingle: int, percent: int) -> DataFrame:

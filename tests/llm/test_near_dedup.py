@@ -60,8 +60,9 @@ def family(rng, words, size, sides, edits):
     return out
 
 
-@pytest.mark.parametrize("n", [2, 5])
-def test_against_all_pairs(spark, n, monkeypatch):
+@pytest.mark.parametrize(("n", "most"), [(2, 32), (5, 32), (2, 0)])
+def test_against_all_pairs(spark, n, most, monkeypatch):
+    monkeypatch.setattr(N, "MOST_BLOCKS", most)  # without blocks, hubs look cheaper than buckets
     monkeypatch.setattr(N, "BLOCK", 8)
     monkeypatch.setattr(N, "SET_BLOCK", 8)
     rng = random.Random(n)
