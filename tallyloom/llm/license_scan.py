@@ -8,12 +8,15 @@ Size bounds prune first: of a template of b bigrams, only stretches of at most b
 and only if at least b * SCORE / (2 - SCORE) of them are the template's. Those bounds are checked for all texts of a batch at
 once; the few places that pass are scored exactly. A best stretch begins and ends with a common bigram, so only those are tried.
 
-A stretch that overlaps with a better one of another licence is dropped, since licences share words. Each text gives one row for each licence found, for its best stretch (of equals the longest template's, and its first). Null, empty and one-word texts have no
+Licences share words, so of all stretches that score enough the best is taken first, then the best that overlaps with none taken, and so on; a licence named inside another's notice is
+found where it also stands apart from it. Each text gives one row for each licence found, for the best of its stretches taken (of equals the longest template's, and its first). Null, empty and one-word texts have no
 bigram and give none. Rows with the same doc_id give rows each for itself.
 """
 
 from __future__ import annotations
 
+import bisect
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -116,24 +119,83 @@ def best_stretch(hashes: np.ndarray, at: np.ndarray, size: int, most: int, score
     return best if best and best[0] >= score - 1e-9 else None
 
 
+def longest_from(hashes: np.ndarray, at: np.ndarray, i: int, size: int, most: int, score: float, end: int | None = None) -> tuple[float, int] | None:
+    """The best (score, bigrams) of the stretches from hit i to a later hit before the place end; the shortest on ties."""
+    best = None
+    common: set[int] = set()
+    for j in range(i, len(at)):
+        length = int(at[j] - at[i]) + 1
+        if length > most or (end is not None and at[j] >= end):
+            break
+        common.add(int(hashes[j]))
+        dice = 2 * len(common) / (size + length)
+        if best is None or dice > best[0] + 1e-12:
+            best = (dice, length)
+    return best if best and best[0] >= score - 1e-9 else None
+
+
+def settled(spots: list[tuple[str, int, int, np.ndarray, np.ndarray]], score: float) -> dict[str, tuple[float, int, int]]:
+    """Score, first word and number of words of each licence's best stretch, for the spots (licence, template's bigrams, most, hashes, places) of one text.
+
+    Of all stretches of all templates that score enough, the best is taken, then the best that overlaps with none taken, and so on, until every
+    licence that can have one has its first. A place's best stretch is looked for again, before the next one taken, when its end is taken.
+    """
+    heap: list[tuple] = []
+
+    def offer(k: int, i: int, end: int | None) -> None:
+        name, size, most, hashes, at = spots[k]
+        got = longest_from(hashes, at, i, size, most, score, end)
+        if got:
+            heapq.heappush(heap, (-round(got[0], 9), -size, name, int(at[i]), k, i, got[1], got[0]))
+
+    for k, (_, _, _, _, at) in enumerate(spots):
+        for i in range(len(at)):
+            offer(k, i, None)
+    out: dict[str, tuple[float, int, int]] = {}
+    wanted = {x[2] for x in heap}
+    begins: list[int] = []
+    ends: list[int] = []  # of the words taken, in order
+    while heap and len(out) < len(wanted):
+        _, _, name, a, k, i, n, dice = heapq.heappop(heap)
+        spot = bisect.bisect_right(begins, a)
+        if spot and ends[spot - 1] > a:
+            continue
+        if spot < len(begins) and begins[spot] <= a + n:
+            offer(k, i, begins[spot] - 1)  # bigram p covers the words p and p + 1
+            continue
+        begins.insert(spot, a)
+        ends.insert(spot, a + n + 1)
+        out.setdefault(name, (dice, a, n + 1))
+    return out
+
+
 def scan_texts(texts: pa.Array, templates: Templates, score: float = SCORE) -> list[tuple[int, str, float, int, int]]:
-    """As best_stretches(), without those that overlap with a better one of another licence."""
-    kept: dict[int, list[tuple]] = {}
-    for row in sorted(best_stretches(texts, templates, score), key=lambda r: (r[0], -round(r[2], 9), -r[4], r[1])):
-        others = kept.setdefault(row[0], [])
-        if all(row[3] + row[4] <= x[3] or x[3] + x[4] <= row[3] for x in others):
-            others.append(row)
-    return [r for rows in kept.values() for r in sorted(rows)]
+    """As best_stretches(), but of the stretches that overlap with no better one of another licence."""
+    spots: dict[int, list[tuple]] = {}
+    for t, *spot in dense_spots(texts, templates, score):
+        spots.setdefault(t, []).append(tuple(spot))
+    return [(t, name, *x) for t in sorted(spots) for name, x in sorted(settled(spots[t], score).items())]
 
 
 def best_stretches(texts: pa.Array, templates: Templates, score: float) -> list[tuple[int, str, float, int, int]]:
     """text, licence, score, first word and number of words of each licence's best stretch."""
+    found: dict[tuple[int, str], tuple] = {}
+    for t, name, size, most, hashes, at in dense_spots(texts, templates, score):
+        got = best_stretch(hashes, at, size, most, score)
+        if got:
+            told, (dice, _, n) = (got[0], got[1], got[2] + 1), found.get((t, name), (0.0, 0, 0))
+            if told[0] > dice + 1e-12 or (told[0] > dice - 1e-12 and told[2] > n):
+                found[t, name] = told
+    return [(t, name, *x) for (t, name), x in sorted(found.items())]
+
+
+def dense_spots(texts: pa.Array, templates: Templates, score: float) -> Iterator[tuple[int, str, int, int, np.ndarray, np.ndarray]]:
+    """text, licence, the template's bigrams, the most a stretch can have, and hashes and places in the text of the hits that a good stretch can hold."""
     words, hashes, begin = _bigrams(texts)
     likely = np.flatnonzero(templates.present[hashes & _LOW])
     slot = np.minimum(np.searchsorted(templates.all, hashes[likely]), max(len(templates.all) - 1, 0))
     likely = likely[templates.all[slot] == hashes[likely]] if len(templates.all) else likely[:0]
     owner = np.searchsorted(words.first, begin[likely], side="right") - 1
-    found: dict[tuple[int, str], tuple] = {}
     for name, own in zip(templates.names, templates.bigrams, strict=True):
         size = len(own)
         most, need = int(size * (2 - score) / score + 1e-9), max(1, int(np.ceil(size * score / (2 - score) - 1e-9)))
@@ -150,12 +212,7 @@ def best_stretches(texts: pa.Array, templates: Templates, score: float) -> list[
             spot = begin[likely[mine]]
             k = np.searchsorted(low, spot, side="right")
             mine = mine[(k > 0) & (np.maximum.accumulate(high)[np.maximum(k - 1, 0)] >= spot)]
-            got = best_stretch(hashes[likely[mine]], begin[likely[mine]], size, most, score)
-            if got:
-                told, (dice, _, n) = (got[0], got[1] - int(words.first[t]), got[2] + 1), found.get((int(t), name), (0.0, 0, 0))
-                if told[0] > dice + 1e-12 or (told[0] > dice - 1e-12 and told[2] > n):
-                    found[int(t), name] = told
-    return [(t, name, *x) for (t, name), x in sorted(found.items())]
+            yield int(t), name, size, most, hashes[likely[mine]], begin[likely[mine]] - int(words.first[t])
 
 
 def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, score: float = SCORE) -> DataFrame:

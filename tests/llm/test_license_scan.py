@@ -73,6 +73,41 @@ def test_notices_and_odd_rows(spark):
     assert L.scan(clash, []).count() == 0
 
 
+def test_licence_inside_and_apart_from_a_siblings_notice(spark):
+    lgpl, gpl = "Distributed under the terms of the GNU Lesser General Public License, version 3.", "follow the GNU General Public License, version 3."
+    rows = [(1, f"{lgpl} Some words stand here. The test programs alone {gpl}"), (2, lgpl), (3, f"{lgpl} {lgpl}"), (4, f"The test programs alone {gpl} {lgpl}")]
+    got = found(spark, rows)
+    assert got.keys() == {(1, "LGPL"), (1, "GPL"), (2, "LGPL"), (3, "LGPL"), (4, "LGPL"), (4, "GPL")}
+    assert got[1, "LGPL"] == (0, 13) and got[1, "GPL"][0] > 13 and got[4, "GPL"][0] + got[4, "GPL"][1] <= got[4, "LGPL"][0]
+
+
+def test_settled_against_all_stretches():
+    rng = random.Random(8)
+    words = "the gnu public license under terms of version b c d e f g h".split()
+    apart = 0
+    for _ in range(60):
+        base = rng.sample(words, 12)
+        templates = [("T0", " ".join(base)), ("T1", " ".join([*base[:6], "lesser", *base[6:]])), ("T2", " ".join([*base[:3], "affero", *base[5:]]))]
+        text = " ".join(w for _ in range(4) for w in (*rng.choice(templates)[1].split()[rng.randrange(4) :], *rng.choices(words, k=rng.randrange(3))))
+        grams, ready, every = bigrams(text), L.prepare(templates), []
+        for name, own in zip(ready.names, ready.bigrams, strict=True):
+            own = {g for _, t in templates for g in bigrams(t) if L._bigrams(pa.array([" ".join(g)]))[1][0] in own}
+            for i in range(len(grams)):
+                for j in range(i + 1, len(grams) + 1):
+                    dice = 2 * len({*grams[i:j]} & own) / (len(own) + j - i)
+                    if dice >= 0.8 - 1e-9:
+                        every.append((-round(dice, 9), -len(own), name, i, j - i))
+        taken, want = [], {}
+        for dice, _, name, i, n in sorted(every):
+            if all(i + n < a or a + m < i for a, m in taken):
+                taken.append((i, n))
+                want.setdefault(name, (-dice, i, n + 1))
+        got = {name: (round(d, 9), a, n) for _, name, d, a, n in L.scan_texts(pa.array([text]), ready)}
+        assert got == want
+        apart += any(name in want and (round(d, 9), a, n) != want[name] for _, name, d, a, n in L.best_stretches(pa.array([text]), ready, 0.8))
+    assert apart > 5
+
+
 def test_query_against_lines(spark, sf_dir):
     path = sf_dir.replace("sf0.001", "sf0.01")
     got = {(r.doc_id, r.license_id) for r in L.op4_license_scan(spark, path).collect()}
