@@ -47,8 +47,8 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document's pieces: the best segmentation's ids, and the scores of the n best."""
-    return piece_lattice.encode_nbest(docs, public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
+    """Each document's pieces: the best segmentation's ids, what the others of the n best change in them, and the scores."""
+    return piece_lattice.encode_nbest(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
 STAGES = [

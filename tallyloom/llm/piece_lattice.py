@@ -385,4 +385,4 @@ def decode_ids(rows: DataFrame, model_file: str) -> DataFrame:
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return encode_nbest(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
+    return encode_nbest(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))

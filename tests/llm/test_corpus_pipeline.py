@@ -79,6 +79,15 @@ def test_encoding_stage(stages):
     assert zlib.crc32(np.array([1], "<u4").tobytes()) > 0
 
 
+def test_run_ends_with_the_encoded_corpus(stages):
+    import public_tokenizers
+
+    before, after = texts(stages[1][4][0]), stages[1][4][1].collect()
+    lattice = piece_lattice.Lattice.load(public_tokenizers.path("piece_bpe_32k.model"))
+    assert {r.doc_id: lattice.decode(r.ids) for r in after} == before
+    assert all(len(r.changes) == len(r.scores) - 1 for r in after)
+
+
 def test_run_and_odd_rows(spark, sf_dir, tmp_path):
     rows = [(1, None, None, None, None), (2, "", "en", "s", 0), (2, "some words of a text", None, "s", 5), (None, "and more words of the text", "en", None, 3), (3, "12 34", "en", "s", 5)]
     schema = "doc_id long, text string, lang string, source string, n_chars long"

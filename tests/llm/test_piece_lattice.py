@@ -103,6 +103,15 @@ def test_query_and_decoding(spark, sf_dir):
     assert {r.doc_id: r.text for r in P.decode_ids(ids, MODEL).collect()} == {r.doc_id: r.text for r in some.collect()}
 
 
+def test_query_gives_every_segmentation(spark, sf_dir):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    lattice = P.Lattice.load(MODEL)
+    for r in P.op6_sentencepiece(spark, sf_dir).collect():
+        assert len(r.ids) == r.n_pieces and lattice.decode(r.ids) == texts[r.doc_id] and len(r.changes) == len(r.scores) - 1
+        paths = [rebuilt(r.ids, c) for c in ([], *r.changes)]
+        assert len({tuple(x) for x in paths}) == len(paths) and all(lattice.decode(x) == texts[r.doc_id] for x in paths)
+
+
 def test_rows(spark):
     df = spark.createDataFrame([(1, "the word", "x"), (1, "the word", "x"), (None, None, "x"), (2, "long " * 40_000, "x")], "doc_id bigint, text string, ids string")
     got = sorted((r.doc_id or 0, r.n_pieces, r.round_trip, len(r.scores)) for r in P.encode_nbest(df, MODEL, 2).collect())
