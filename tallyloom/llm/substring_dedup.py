@@ -1,13 +1,12 @@
-"""Substring deduplication by factoring documents against an index of reference blocks.
+"""Substring deduplication by counting windows under content-defined anchors.
 
-A document is parsed greedily, as in relative Lempel-Ziv coding, into factors, each a copy of words that stand elsewhere in the corpus.
-Only factors of SPAN words or more matter, and they are checked at their boundaries: every window of SPAN consecutive
-words is judged, also one that begins in a factor and ends in the next, so a repeated window is found wherever a greedy parse would cut.
+Every window of SPAN consecutive words is judged: its words go if they also stand, in order, anywhere else in the corpus. This takes the place of a
+relative Lempel-Ziv parse against reference blocks, which would be quadratic (each document against each block) and decide nothing more: a word
+is in a copy of SPAN words or more just if one of its windows is repeated. No document is parsed. The factors given are the repeated windows glued together
+afterwards, each tied to the first place of its words; so a factor breaks where that place changes document, even if one source has the whole stretch.
 
-The reference is the whole corpus. Parsing each document against each block of it would be quadratic, so blocks are addressed by
-content: in every window of SPAN words, the smallest hash of its runs of GRAM words is an anchor, the same wherever the window stands, and
-the block that holds an anchor's hash indexes all its occurrences. A window meets every block entry that could match it, and no
-other. First, anchors are gathered by hash; windows whose anchor stands at one place of one text only can't be repeated and go no further. Then the
+Windows are dealt by content: in every window of SPAN words, the smallest hash of its runs of GRAM words is an anchor, the same wherever the window
+stands. First, anchors are gathered by hash; windows whose anchor stands at one place of one text only can't be repeated and go no further. Then the
 windows of the rest are counted by a 64-bit hash of all their words together with the anchor's hash.
 
 Windows of one anchor that follow each other travel as one row. Rows of a group are never paired: an occurrence meets only the group's count and
@@ -194,7 +193,7 @@ def _pieces(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _factors(starts: np.ndarray, n: np.ndarray, source: np.ndarray, source_start: np.ndarray, span: int) -> list[dict]:
-    """The greedy parse: each factor copies from the source of its first window as far as the windows' sources go on."""
+    """Repeated windows that follow each other, glued: each factor goes on as long as the windows' first places do; not a greedy longest match."""
     out: list[dict] = []
     end = 0
     for a, k, doc, at in zip(starts.tolist(), n.tolist(), source.tolist(), source_start.tolist(), strict=True):
