@@ -31,7 +31,7 @@ from tallyloom.llm.wordhash import find_words, grams
 SPAN, GRAM = 35, 8
 HOT = 500
 _MOST = np.uint64(2**64 - 1)
-PIECE = "did bigint, th int, start int, n int, source bigint, source_start int"
+PIECE = "did bigint, th bigint, start int, n int, source bigint, source_start int"
 FACTORS = "array<struct<start: int, n: int, source: bigint, source_start: int>>"
 
 
@@ -91,7 +91,7 @@ def _anchorer(span: int, gram: int):
             same = (np.diff(row[order]) == 0) & (np.diff(p.runs[at][order]) == 0)
             twice = np.zeros(len(at), bool)
             twice[order[1:][same]] = True
-            yield pa.RecordBatch.from_arrays([pa.array(p.runs[at].view(np.int64)), batch.column("did").take(rows), batch.column("th").take(rows), batch.column("t64").take(rows), pa.array(place.astype(np.int32)), pa.array(twice)], ["anchor", "did", "th", "t64", "place", "twice"])
+            yield pa.RecordBatch.from_arrays([pa.array(p.runs[at].view(np.int64)), batch.column("did").take(rows), batch.column("th").take(rows), pa.array(place.astype(np.int32)), pa.array(twice)], ["anchor", "did", "th", "place", "twice"])
 
     return run
 
@@ -250,25 +250,24 @@ def without_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, with_te
     blank. with_text=False gives kept_sha256 in place of kept_text. A factor's source is the first place of its words, in the order of doc_id.
     """
     rows = docs.select(
-        F.col("doc_id"), F.col("text").cast("string").alias("text"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("did"), F.hash(F.col("text").cast("string")).alias("th"), F.xxhash64(F.col("text").cast("string")).alias("t64")
+        F.col("doc_id"), F.col("text").cast("string").alias("text"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("did"), F.xxhash64(F.col("text").cast("string")).alias("th")
     )
     keys = ["did", "th"]
-    anchors = written(rows.mapInArrow(_anchorer(span, gram), "anchor bigint, did bigint, th int, t64 bigint, place int, twice boolean"), "anchors")
+    anchors = written(rows.mapInArrow(_anchorer(span, gram), "anchor bigint, did bigint, th bigint, place int, twice boolean"), "anchors")
     # equal texts don't make an anchor shared: they are told by their hash below
-    # equal texts don't make an anchor shared: they are told by their hash below
-    gathered = anchors.groupBy("anchor").agg(F.min("t64").alias("_low"), F.max("t64").alias("_high"), F.max("twice").alias("_twice"), F.count("*").alias("_n"))
+    gathered = anchors.groupBy("anchor").agg(F.min("th").alias("_low"), F.max("th").alias("_high"), F.max("twice").alias("_twice"), F.count("*").alias("_n"))
     shared = gathered.filter("_low <> _high OR _twice").select("anchor", (F.col("_n") > HOT).alias("hot"))
     flagged = anchors.select("anchor", *keys, "place").join(shared, "anchor").groupBy(*keys).agg(F.collect_list(F.struct("place", "hot")).alias("places"), F.max("hot").alias("any_hot"), F.min("hot").alias("all_hot"))
 
-    same = rows.filter("text IS NOT NULL").groupBy("t64", F.length("text").alias("chars")).agg(F.count("*").alias("n"), F.min("did").alias("first")).filter("n > 1")
-    copies = rows.filter("text IS NOT NULL").select("did", "th", "t64", F.length("text").alias("chars")).distinct().join(same, ["t64", "chars"]).select(*keys, F.struct("n", "first").alias("copies"))
+    same = rows.filter("text IS NOT NULL").groupBy("th", F.length("text").alias("chars")).agg(F.count("*").alias("n"), F.min("did").alias("first")).filter("n > 1")
+    copies = rows.filter("text IS NOT NULL").select(*keys, F.length("text").alias("chars")).distinct().join(same, ["th", "chars"]).select(*keys, F.struct("n", "first").alias("copies"))
     first_only = written(flagged.join(copies, keys, "left").filter(F.col("copies").isNull() | (F.col("copies.first") == F.col("did"))).select(*keys, "places", "any_hot", "all_hot"), "places")  # two kinds of windows are made of it
 
     dealt = rows.select("doc_id", "text", *keys).repartition(*keys)
     looked = dealt.join(first_only, keys)  # repeated rows double their windows, which are repeated anyway
-    runs = looked.filter("NOT all_hot").select(*keys, "text", "places").mapInArrow(_window_runs(span, gram), "anchor bigint, did bigint, th int, start int, windows array<bigint>")
+    runs = looked.filter("NOT all_hot").select(*keys, "text", "places").mapInArrow(_window_runs(span, gram), "anchor bigint, did bigint, th bigint, start int, windows array<bigint>")
     pieces = runs.repartition("anchor").sortWithinPartitions("anchor", "did", "start").mapInArrow(_repeated, PIECE)
-    singles = looked.filter("any_hot").select(*keys, "text", "places").mapInArrow(_single_windows(span, gram), "window bigint, anchor bigint, did bigint, th int, start int")
+    singles = looked.filter("any_hot").select(*keys, "text", "places").mapInArrow(_single_windows(span, gram), "window bigint, anchor bigint, did bigint, th bigint, start int")
     often = singles.groupBy("window", "anchor").agg(F.count("*").alias("_n"), F.min(F.struct("did", "start")).alias("source")).filter("_n > 1").drop("_n")
     hot_pieces = singles.join(often, ["window", "anchor"]).select(*keys, "start", F.lit(1).alias("n"), F.col("source.did").alias("source"), F.col("source.start").alias("source_start"))
     hits = pieces.unionByName(hot_pieces).groupBy(*keys).agg(F.collect_list(F.struct("start", "n", "source", "source_start")).alias("hits"))

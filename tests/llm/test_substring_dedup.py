@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tallyloom.llm import substring_dedup as S
 
@@ -94,3 +95,12 @@ def test_factors_are_copies(spark):
     rows = [(1, " ".join(run)), (2, " ".join(["a", *run[:40], "b", *run[10:50]]))]
     got = {r.doc_id: r.factors for r in S.without_repeats(spark.createDataFrame(rows, DOCS)).collect()}
     assert [tuple(f) for f in got[2]] == [(1, 40, 1, 0), (42, 40, 1, 10)]
+
+
+def test_rows_of_one_id_with_equal_32_bit_hashes(spark):
+    """Of two texts without doc_id whose 32-bit hashes agree, one repeats a passage; the other stays whole."""
+    passage, other = (" ".join(f"{x}{i}" for i in range(40)) for x in "pq")
+    kinds = [spark.range(200_000).select(F.concat(F.lit(x + " "), F.col("id").cast("string")).alias(n)).withColumn("h", F.hash(n)) for x, n in ((passage, "a"), (other, "b"))]
+    a, b = kinds[0].join(kinds[1], "h").select("a", "b").first()
+    got = found(spark, [(1, passage + " end"), (None, a), (None, b)], 35, 8)
+    assert (None, 41, 0, b) in got and (None, 41, 40, a.split()[-1]) in got
