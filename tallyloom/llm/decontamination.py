@@ -4,16 +4,20 @@ Words are lower-cased (A-Z) and lose ASCII punctuation; a word without letters o
 token positions, so a seed hash stays equal when words there are replaced. Seeds of the benchmark items are looked up for
 every position of every text; each hit gives an alignment of text and item, and around it the words are compared: the
 alignment counts if some window of min(WINDOW, words of the item) words has at least SHARE equal words in place. The masks
-find every such window with up to four replaced words of 20, or three of 15 (a test tries all placements).
+find every such window with up to four replaced words of 20, or three of 15; for the choices of replaced words that they miss in items of
+5, 6, 7, 10, 11 and 12 words, there are masks as long as the item (tests try all placements, for every length).
 
 Items are taken in blocks of at most BLOCK_WORDS words, and each block is read against all texts, so what an executor holds
 is bounded whatever the size of the benchmark; nothing is shuffled. Items with fewer than LEAST_WORDS words say too little and are
-not searched; of items shorter than a mask, the first and only seed is the whole item. Null or empty texts match nothing.
+not searched. A text shorter than the window (min(WINDOW, words of the item)) holds none and matches nothing, also if it is an excerpt of the item. Null or empty texts match nothing.
 Rows with the same doc_id or item_id are judged each for itself and give one result row a pair, the best.
 """
 
 from __future__ import annotations
 
+import functools
+import itertools
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -65,11 +69,19 @@ def _inside(first: np.ndarray, span: int, total: int) -> np.ndarray:
     return np.flatnonzero(text[:total] == text[span - 1 :]) if total else np.zeros(0, np.int64)
 
 
+@functools.cache
+def whole_masks(n: int) -> tuple[str, ...]:
+    """Masks for items of n words, each as long as the item: one for each choice of tolerated words that MASKS don't find."""
+    bad = itertools.combinations(range(n), n - math.ceil(SHARE * n - 1e-9))
+    missed = [b for b in bad if not any(all(p + i not in b for i, c in enumerate(m) if c == "1") for m in MASKS for p in range(n - len(m) + 1))]
+    return tuple("".join("0" if i in b else "1" for i in range(n)) for b in missed)
+
+
 def make_block(ids: pa.Array, texts: pa.Array) -> Block:
     words = find_words(texts, lower=True, bare=True)
     count = words.counts
-    short = sorted({int(n) for n in count if LEAST_WORDS <= n < min(map(len, MASKS))})
-    masks = (*MASKS, *("1" * n for n in short))
+    short = sorted({int(n) for n in count if LEAST_WORDS <= n < WINDOW})
+    masks = (*MASKS, *(m for n in short for m in whole_masks(n)))
     seeds, items, places = [], [], []
     owner = words.text
     for k, mask in enumerate(masks):

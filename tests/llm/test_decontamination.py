@@ -43,6 +43,15 @@ def test_masks_find_every_tolerated_window():
             assert any(all(p + i not in bad for i, c in enumerate(m) if c == "1") for m in D.MASKS for p in range(size - len(m) + 1))
 
 
+def test_every_placement_in_items_of_every_length():
+    for n in range(D.LEAST_WORDS, D.WINDOW + 1):
+        item = [f"w{i}" for i in range(n)]
+        bad = list(itertools.combinations(range(n), n - int(np.ceil(D.SHARE * n - 1e-9))))
+        texts = [" ".join(["a", *("x" if i in b else w for i, w in enumerate(item)), "b"]) for b in bad]
+        text, _, equal, *_ = D.overlaps(D.find_words(pa.array(texts, pa.large_string()), lower=True, bare=True), D.make_block(pa.array([1]), pa.array([" ".join(item)], pa.large_string())))
+        assert text.tolist() == list(range(len(bad))) and set(equal.tolist()) == {n - len(bad[0])}
+
+
 def test_against_all_alignments(spark, monkeypatch):
     monkeypatch.setattr(D, "CELLS", 64)
     rng = random.Random(5)
