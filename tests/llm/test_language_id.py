@@ -1,8 +1,10 @@
 import itertools
+import random
 import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from tallyloom.llm import language_id as L
 
@@ -66,6 +68,40 @@ def test_nothing_learnt_and_empty(spark):
 def test_runs_of_any_size_agree(spark, monkeypatch):
     model = learn(spark)
     texts = pa.array(["the fine land", None, "das wetter", "погода the"], pa.string())
-    one = L.word_scores(texts, model, L._places(model.letters))
-    each = [L.word_scores(texts.slice(i, 1), model, L._places(model.letters)) for i in range(len(texts))]
+    one = L.word_scores(texts, model)
+    each = [L.word_scores(texts.slice(i, 1), model) for i in range(len(texts))]
     assert np.allclose(one[0], np.concatenate([x[0] for x in each]))
+
+
+def invented(rng, letters):
+    return ["".join(rng.choice(letters) for _ in range(rng.randrange(3, 9))) for _ in range(12)]
+
+
+def test_300_languages_and_scripts(spark):
+    """Languages of six scripts, many to a script, told apart by letters that a table of the commonest ones wouldn't hold."""
+    rng = random.Random(7)
+    scripts = ["abcdefghijklmnopqrstuvwxyz", "".join(map(chr, range(0x430, 0x450))), "".join(map(chr, range(0x3B1, 0x3C9))), "".join(map(chr, range(0x5D0, 0x5EB))), "".join(map(chr, range(0x627, 0x63A))), "".join(map(chr, range(0x4E00, 0x5200)))]
+    words = {f"l{k:03}": invented(rng, scripts[k % len(scripts)]) for k in range(300)}
+    docs = [(i * 300 + k, " ".join(rng.choices(w, k=30)), lang) for i in range(4) for k, (lang, w) in enumerate(words.items())]
+    model = L.train(spark.createDataFrame(docs, DOCS))
+    assert len(model.languages) > 290
+    got = {r.doc_id: r.lang_pred for r in L.predict(spark.createDataFrame(docs, DOCS), model).collect()}
+    right = [got[i] == lang for i, _, lang in docs if lang in model.languages]
+    assert sum(right) / len(right) > 0.98
+
+
+def test_shares_below_a_millionth_and_rare_languages(spark):
+    rows = spark.range(200_000).select("id", F.lit("x").alias("text"), F.when(F.col("id") < 50, "rare").otherwise("often").alias("lang"), F.col("id").alias("doc_id"))
+    got = {r.lang: r.n for r in rows.filter(L._picked({"rare": 10.0, "often": 1e-4})).groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    assert got["rare"] == 50 and 2 <= got["often"] <= 60
+    few = L.train(spark.createDataFrame([*((i, "the fine weather of the land", "en") for i in range(400)), *((1000 + i, "das wetter im ganzen land", "de") for i in range(8))], DOCS), sample=40, least=20)
+    assert few.languages == ["de", "en"]
+    tiny = spark.range(1).select(F.lit(int(1e-12 * 2**64) - 2**63).alias("x")).first().x
+    assert tiny > -(2**63)  # a share of a millionth of a millionth still picks hashes
+
+
+def test_long_words_and_ties(spark):
+    model = learn(spark)
+    rows = [(1, "weather" * 3000, None), (2, "qqq", None), (3, "the weather " * 100_000 + "погода", None)]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in L.predict(spark.createDataFrame(rows, DOCS), model).collect()}
+    assert got[1][0] == "en" and got[2] == ("de", 1.0) and got[3][0] == "en" and got[3][1] > 0.99
