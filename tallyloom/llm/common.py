@@ -21,14 +21,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints; a temporary one only where the session names none."""
+    """The shared folder for checkpoints: the one that the session names, else one in the warehouse; a temporary one only where all runs on this machine."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="tallyloom-checkpoint-"))
+        if not named and sc.master.startswith("local"):
+            named = tempfile.mkdtemp(prefix="tallyloom-checkpoint-")
+        sc.setCheckpointDir(named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tallyloom-checkpoint")
     return sc.getCheckpointDir()
 
 
+def discarded(spark: SparkSession, path: str, now: bool = False) -> None:
+    """path, a written table that nothing needs any more (now), or not after the driver's end, goes."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if now:
+        files.delete(place, True)
+    else:
+        files.deleteOnExit(place)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """df, computed and kept in the shared checkpoint folder, so that no later stage depends on one executor."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -40,12 +52,31 @@ def written(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    discarded(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A key with more than a share of 1 / PIECES of all rows is split, and a piece holds LEAST_PIECE rows at least.
+PIECES, LEAST_PIECE = 1024, 100
+
+
+def meet(rows: DataFrame, keyed: DataFrame, on: list[str], n: str = "n") -> DataFrame:
+    """rows joined with keyed, a written table with one row a key and the number n of its rows among rows; keys that many rows share are split.
+
+    Fewer than PIECES keys can have more than 1 / PIECES of all rows, so their list is small at any size and is broadcast: rows learn from it into
+    how many pieces their key is split, and the key's row of keyed is copied to every piece. Other keys stay whole.
+    """
+    total, top = keyed.agg(F.coalesce(F.sum(n), F.lit(0)), F.coalesce(F.max(n), F.lit(0))).first()
+    most = max(LEAST_PIECE, int(total) // PIECES)
+    if top <= most:
+        return rows.join(keyed.drop(n), on)
+    pieces = F.ceil(F.col(n) / most).cast("int")
+    hot = keyed.filter(F.col(n) > most).select(*on, pieces.alias("_pieces"))
+    dealt = rows.join(F.broadcast(hot), on, "left").withColumn("_piece", F.coalesce(F.pmod(F.xxhash64(*rows.columns), F.col("_pieces")), F.lit(0)).cast("int")).drop("_pieces")
+    copied = keyed.withColumn("_piece", F.explode(F.sequence(F.lit(0), F.when(F.col(n) > most, pieces - 1).otherwise(0)))).drop(n)
+    return dealt.join(copied, [*on, "_piece"]).drop("_piece")
+
+
 def words_of(text: Column) -> Column:
     """The words of a text as an array; a null text has none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_SPLIT), lambda w: w != "")

@@ -2,14 +2,16 @@
 
 Lines are what stands between \\n; lines without a word are never compared and always stay. Of each MIN_LINES consecutive lines
 of a document (blank ones left out) the one with the smallest hash, the rightmost on ties, is a fingerprint; so two equal runs
-of MIN_LINES lines have an equal fingerprint at the same place. Fingerprints are joined by their hash; where a hash occurs more than once, the match is
-extended to the left and right, over every run of MIN_LINES lines that selected this fingerprint, by comparing their hashes. The first
-place of a run, in the order of doc_id (null first) and line, stays; every later one goes. Longer repeated runs go whole, since each of their runs of
-MIN_LINES lines does.
-
-Nothing pairs up the rows of a group: an occurrence meets only the group's count and first place, so a line that a third of all documents
-share costs as much as any other. A null or empty text has no lines and stays as it is. Rows that agree in doc_id and text are
-one document: none is a later copy of the other. Documents shorter than MIN_LINES lines stay whole. Other columns pass unchanged.
+of MIN_LINES lines have an equal fingerprint at the same place. One row a fingerprint goes on, with the line hashes next to it on either side. Places whose
+fingerprint stands elsewhere too are joined with the first place that has the same lines around it, for each way in which a run of MIN_LINES lines can lie around
+the fingerprint; the match is then extended to the left and right, line by line, as far as both agree. Of a match of MIN_LINES lines or more the later place goes,
+in the order of doc_id (null first), text hash and line. A longer run is cut by the matches of all its fingerprints, which overlap.
+
+Nothing pairs up the places of a group: a place meets only the first one, and a fingerprint that a third of all documents share is dealt over many tasks.
+
+A null or empty text has no lines and stays as it is. Rows that agree in doc_id and text are one document: none is a later copy of
+the other. Documents shorter than MIN_LINES lines stay whole. A document's lines are looked at together, however long it is. Of equal runs the first place stays.
+Other columns pass unchanged, whatever their names, but for kept_text, n_lines and n_removed, which are the result's.
 """
 
 from __future__ import annotations
@@ -17,34 +19,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import let, table
+from tallyloom.llm.common import let, meet, table, written
 
 MIN_LINES = 3
 _WORD = "[^\\x20\\x09-\\x0D]"
 
 
-def _winnowed(hashes: Column, n: int) -> Column:
-    """For each run of n lines: its 0-based begin, the place of its fingerprint, and two hashes of the run."""
+def _fingerprints(hashes: Column, n: int) -> Column:
+    """mark (0-based place), print, and the up to n - 1 hashes before (nearest first) and after it, of each fingerprint of a document."""
 
-    def of(j):
+    def marked(j):
         run = F.slice(hashes, j + 1, n)
-        return F.struct(
-            j.alias("begin"),
-            (j + n - F.array_position(F.reverse(run), F.array_min(run)).cast("int")).alias("mark"),
-            F.array_min(run).alias("print"),
-            F.xxhash64(run).alias("run1"),
-            F.xxhash64(F.lit(n), F.reverse(run)).alias("run2"),
-        )
+        return (j + n - F.array_position(F.reverse(run), F.array_min(run))).cast("int")
+
+    def of(k):
+        before = F.reverse(F.slice(hashes, F.greatest(k + 2 - n, F.lit(1)), F.least(k, F.lit(n - 1))))
+        return F.struct(k.alias("mark"), F.get(hashes, k).alias("print"), before.alias("before"), F.slice(hashes, k + 2, F.lit(n - 1)).alias("after"))
+
+    marks = F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(hashes) - n), marked))
+    return F.when(F.size(hashes) >= n, let(marks, lambda m: F.transform(m, of))).otherwise(F.array())
+
 
-    return F.when(F.size(hashes) >= n, F.transform(F.sequence(F.lit(0), F.size(hashes) - n), of)).otherwise(F.array())
+def _agreeing(a: Column, b: Column) -> Column:
+    """How many values at the beginning of two arrays are equal."""
+    same = F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False)))
+    return let(F.array_position(same, False), lambda k: F.when(k > 0, k - 1).otherwise(F.size(same))).cast("int")
 
 
-def _cut(lines: Column, begins: Column, n: int) -> Column:
-    """struct(kept, n_cut): the lines without those in the runs of n full lines that begin at begins."""
+def _cut(lines: Column, runs: Column) -> Column:
+    """struct(kept, n_cut): the lines without those in the runs (first and last, counted among lines with a word)."""
     full = F.filter(F.transform(lines, lambda x, i: F.when(x.rlike(_WORD), i)), lambda i: i.isNotNull())
 
     def with_places(full):
-        places = F.flatten(F.transform(begins, lambda b: F.slice(full, b + 1, n)))
+        places = F.flatten(F.transform(runs, lambda r: F.slice(full, r["first"] + 1, r["last"] - r["first"] + 1)))
 
         def with_gone(gone):
             stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
@@ -56,16 +63,26 @@ def _cut(lines: Column, begins: Column, n: int) -> Column:
 
 
 def later_runs(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
-    """doc_key, text_key and begin (0-based, blank lines left out) of each run of min_lines lines that an earlier place has too."""
+    """doc_key, text_key, first and last (0-based, blank lines left out) of runs of min_lines lines or more that an earlier place has too; they overlap."""
+    n = min_lines
     lines = F.filter(F.split(F.col("text"), "\n"), lambda x: x.rlike(_WORD))
     hashed = docs.filter(F.col("text").isNotNull()).select(*_keys(), F.transform(lines, lambda x: F.xxhash64(x)).alias("hashes"))
-    runs = hashed.filter(F.size("hashes") >= min_lines).select("doc_key", "text_key", F.explode(let(F.col("hashes"), lambda h: _winnowed(h, min_lines))).alias("r"))
-    runs = runs.select("doc_key", "text_key", "r.*")
-    places = runs.groupBy("print").agg(F.min(F.struct("doc_key", "text_key", "mark")).alias("low"), F.max(F.struct("doc_key", "text_key", "mark")).alias("high"))
-    shared = places.filter(F.col("low") != F.col("high")).select("print")
-    extended = runs.join(shared, "print").select("run1", "run2", F.struct("doc_key", "text_key", "begin").alias("at"))
-    firsts = extended.groupBy("run1", "run2").agg(F.min("at").alias("low"), F.max("at").alias("high")).filter(F.col("low") != F.col("high")).select("run1", "run2", "low")
-    return extended.join(firsts, ["run1", "run2"]).filter(F.col("at") != F.col("low")).select("at.*").distinct()
+    prints = hashed.filter(F.size("hashes") >= n).select("doc_key", "text_key", F.explode(let(F.col("hashes"), lambda h: _fingerprints(h, n))).alias("p")).select("doc_key", "text_key", "p.*")
+    place = F.xxhash64("doc_key", "text_key", "mark")
+    counted = prints.groupBy("print").agg(F.count("*").alias("n"), F.min(place).alias("_low"), F.max(place).alias("_high"))
+    shared = written(counted.filter("_low <> _high").select("print", "n"), "prints")
+
+    ways = F.filter(F.sequence(F.lit(0), F.lit(n - 1)), lambda j: (j <= F.size("before")) & (n - 1 - j <= F.size("after")))  # j lines of the run lie before the fingerprint
+    seeds = meet(prints, shared, ["print"]).withColumn("way", F.explode(ways))
+    around = F.xxhash64(F.slice("before", F.lit(1), F.col("way")), F.lit(0), F.slice("after", F.lit(1), n - 1 - F.col("way")))
+    seeds = written(seeds.withColumn("around", around), "seeds")
+    at = F.struct("doc_key", "text_key", "mark", "before", "after")
+    firsts = seeds.groupBy("print", "way", "around").agg(F.count("*").alias("n"), F.min(at).alias("origin")).filter("n > 1")
+    matches = meet(seeds, written(firsts, "firsts"), ["print", "way", "around"])
+    later = matches.filter(F.struct("doc_key", "text_key", "mark") != F.struct("origin.doc_key", "origin.text_key", "origin.mark"))
+    left, right = _agreeing(F.col("before"), F.col("origin.before")), _agreeing(F.col("after"), F.col("origin.after"))
+    runs = later.select("doc_key", "text_key", "mark", left.alias("left"), right.alias("right")).filter(F.col("left") + F.col("right") + 1 >= n)
+    return runs.select("doc_key", "text_key", (F.col("mark") - F.col("left")).alias("first"), (F.col("mark") + F.col("right")).alias("last")).distinct()
 
 
 def _keys() -> list[Column]:
@@ -74,16 +91,16 @@ def _keys() -> list[Column]:
 
 def drop_later_runs(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     """The rows of docs with kept_text in place of the repeated runs, n_lines and n_removed."""
-    gone = later_runs(docs, min_lines).groupBy("doc_key", "text_key").agg(F.collect_list("begin").alias("_begins"))
-    keyed = docs.withColumns(dict(zip(("_doc_key", "_text_key"), _keys(), strict=True)))
-    joined = keyed.join(gone, (F.col("_doc_key") == F.col("doc_key")) & (F.col("_text_key") == F.col("text_key")), "left")
-    cut = let(F.split(F.col("text"), "\n"), lambda lines: _cut(lines, F.col("_begins"), min_lines))
-    out = joined.withColumn("_result", F.when(F.col("_begins").isNotNull(), cut)).withColumns({
-        "kept_text": F.when(F.col("_begins").isNotNull(), F.col("_result.kept")).otherwise(F.col("text")),
-        "n_lines": F.when(F.coalesce(F.col("text"), F.lit("")) == "", 0).otherwise(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("bigint"),
-        "n_removed": F.coalesce(F.col("_result.n_cut"), F.lit(0)).cast("bigint"),
-    })
-    return out.drop("_doc_key", "_text_key", "doc_key", "text_key", "_begins", "_result")
+    own = docs.drop("kept_text", "n_lines", "n_removed")
+    gone = later_runs(docs.select("doc_id", "text"), min_lines).groupBy("doc_key", "text_key").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
+    joined = own.select(F.struct("*").alias("row"), F.col("text").alias("text"), *_keys()).join(gone, ["doc_key", "text_key"], "left")
+    cut = let(F.split(F.col("text"), "\n"), lambda lines: _cut(lines, F.col("runs")))
+    out = joined.select(
+        "row", F.when(F.col("runs").isNotNull(), cut).alias("result"), "text",
+        F.when(F.coalesce(F.col("text"), F.lit("")) == "", 0).otherwise(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("bigint").alias("n_lines"),
+    )
+    kept = F.when(F.col("result").isNotNull(), F.col("result.kept")).otherwise(F.col("text"))
+    return out.select("row.*", kept.alias("kept_text"), "n_lines", F.coalesce(F.col("result.n_cut"), F.lit(0)).cast("bigint").alias("n_removed"))
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,3 +56,35 @@ def test_empty(spark):
 def test_query_against_sql(spark, sf_dir):
     path = sf_dir.replace("sf0.001", "sf0.01")
     assert_same(D.op8_line_dedup(spark, path), path, D.OP8_SQL)
+
+
+def test_nothing_goes_without_extension(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rows = [(1, "a\nb\nc\nd"), (2, "x\na\nb\nc\nd\ny")]
+    assert kept(spark.createDataFrame(rows, DOCS), 3)[2] == ("x\ny", 4)
+    monkeypatch.setattr(D, "_agreeing", lambda a, b: F.lit(0))
+    assert all(n == 0 for _, n in kept(spark.createDataFrame(rows, DOCS), 3).values())
+
+
+def test_one_row_a_fingerprint(spark):
+    (r,) = spark.createDataFrame([([5, 3, 9, 1, 7, 7],)], "h array<bigint>").select(D._fingerprints(D.F.col("h"), 3).alias("p")).collect()
+    assert [(p.mark, p.print, p.before, p.after) for p in r.p] == [(1, 3, [5], [9, 1]), (3, 1, [9, 3], [7, 7])]
+
+
+def test_clashing_columns_pass(spark):
+    rows = [(1, "a\nb\nc", 7, "t", 1.5, "r", "old"), (2, "a\nb\nc", 8, "u", 2.5, "s", "old")]
+    df = spark.createDataFrame(rows, DOCS + ", doc_key int, text_key string, _result double, row string, kept_text string")
+    got = sorted(tuple(r) for r in D.drop_later_runs(df).collect())
+    assert got == [(1, "a\nb\nc", 7, "t", 1.5, "r", "a\nb\nc", 3, 0), (2, "a\nb\nc", 8, "u", 2.5, "s", "", 3, 3)]
+
+
+@pytest.mark.parametrize("pieces", [4, 1000])
+def test_split_keys_give_the_same(spark, monkeypatch, pieces):
+    from tallyloom.llm import common
+
+    monkeypatch.setattr(common, "PIECES", pieces)
+    monkeypatch.setattr(common, "LEAST_PIECE", 2)
+    rng = random.Random(5)
+    rows = [(i, "\n".join(["same", "lines", "here"] * (i % 3 > 0) + [rng.choice("abcd") for _ in range(9)])) for i in range(90)]
+    assert kept(spark.createDataFrame(rows, DOCS), 3) == plain(rows, 3)
