@@ -1,18 +1,20 @@
-"""Substring deduplication by counting windows under content-defined anchors.
-
-Every window of SPAN consecutive words is judged: its words go if they also stand, in order, anywhere else in the corpus. This takes the place of a
-relative Lempel-Ziv parse against reference blocks, which would be quadratic (each document against each block) and decide nothing more: a word
-is in a copy of SPAN words or more just if one of its windows is repeated. No document is parsed. The factors given are the repeated windows glued together
-afterwards, each tied to the first place of its words; so a factor breaks where that place changes document, even if one source has the whole stretch.
-
-Windows are dealt by content: in every window of SPAN words, the smallest hash of its runs of GRAM words is an anchor, the same wherever the window
-stands. First, anchors are gathered by hash; windows whose anchor stands at one place of one text only can't be repeated and go no further. Then the
-windows of the rest are counted by a 64-bit hash of all their words together with the anchor's hash.
-
-Windows of one anchor that follow each other travel as one row. Rows of a group are never paired: an occurrence meets only the group's count and
-first place. Anchors with more than HOT occurrences would weigh on one task, so their windows are counted by hash with partial sums instead. Documents with equal texts are repeated as a
-whole; one of them stands for all in the index. Null, empty and short texts have no window and stay whole. Rows that agree in doc_id
-and text are two documents with equal texts. Other columns are left out.
+"""Substring deduplication by relative Lempel-Ziv parsing against content-addressed reference blocks.
+
+The corpus itself is the reference, cut into blocks by content: in every window of SPAN consecutive words the smallest hash of its runs of GRAM words is the
+window's anchor, the same wherever the window stands, and a block holds all stretches of the corpus whose windows have one anchor. A copy of SPAN words or more
+shares its windows' anchors with its source, so a document has to be parsed only against the blocks of its own anchors; no other block can give a factor of SPAN words.
+
+Anchors are gathered by hash first; those that stand at one place of one text only have nothing to be parsed against and go no further. Then the stretches of each
+block come together, are indexed (Block: their suffixes in sorted order, so that the longest match of any place is with a neighbour), and each is factored greedily: at the
+first word where a match of SPAN words begins, the longest factor is taken; the windows that lie across the factor's end are checked in the index too, and the first of them that
+is repeated begins the next factor. So every repeated window lies in a factor, and every window of a factor is repeated. A document's factors are put together from
+its blocks: one that goes on with the same source in the next block becomes one factor. The words that go are those that factors cover.
+
+Places of a block are never paired: an index entry is compared with its two neighbours. A block with more than HOT stretches would weigh on one task. It is split by
+window: an entry is then a window's number of places and its first place, counted with partial sums, and its factors are of one window each before they are put together. Documents with equal texts are one
+factor each; one of them stands for all in the blocks. Null, empty and short texts have no window and stay whole. Rows that agree in doc_id
+and text are two documents with equal texts. Of equally long matches the source is the neighbour with the smaller doc_id, text hash and place. A text is looked at as a whole, however long it is. Other columns
+are left out.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import table, text_slices, written
+from tallyloom.llm.common import meet, table, text_slices, written
 from tallyloom.llm.wordhash import find_words, grams
 
 SPAN, GRAM = 35, 8
@@ -139,8 +141,79 @@ def _single_windows(span: int, gram: int):
     return run
 
 
-def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by anchor, did, start. The repeated windows among them, as pieces that copy one source; an anchor's rows are looked at together."""
+class Block:
+    """An index of stretches of windows: of all suffixes of all stretches, the sorted order.
+
+    values are the windows' hashes, bounds those of the stretches, and kinds numbers of the stretches whose windows may be equal. It holds, for each place, the
+    longest match with any other place: long (windows) and source (a place). Stretches come in the order in which sources are preferred.
+    """
+
+    def __init__(self, values: np.ndarray, bounds: np.ndarray, kinds: np.ndarray):
+        size = np.diff(bounds)
+        self.row = row = np.repeat(np.arange(len(size)), size)
+        self.left = left = bounds[1:][row] - np.arange(len(row))  # windows from here to the end of the stretch
+        ranks = [_ranked(kinds[row], values)]
+        step = 1
+        while step < int(size.max(initial=0)):
+            ahead = np.full(len(row), -1, np.int64)
+            far = np.flatnonzero(left > step)
+            ahead[far] = ranks[-1][far + step]
+            ranks.append(_ranked(ranks[-1], ahead))
+            step *= 2
+        order = np.argsort(ranks[-1], kind="stable")
+        a, b = order[:-1], order[1:]
+        common = self._common(ranks, a, b)
+        before, after = np.zeros(len(row), np.int64), np.zeros(len(row), np.int64)
+        before[b], after[a] = common, common
+        previous, following = np.zeros(len(row), np.int64), np.zeros(len(row), np.int64)
+        previous[b], following[a] = a, b
+        self.long = np.maximum(before, after)
+        first = (before > after) | ((before == after) & (previous < following))
+        self.source = np.where(first, previous, following)
+
+    def _common(self, ranks: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """How many windows agree from the places a and b on."""
+        a, b, out = a.copy(), b.copy(), np.zeros(len(a), np.int64)
+        room = np.minimum(self.left[a], self.left[b])
+        for k in range(len(ranks) - 1, -1, -1):
+            step = 1 << k
+            on = np.flatnonzero(room - out >= step)
+            on = on[ranks[k][a[on]] == ranks[k][b[on]]]
+            out[on] += step
+            on = on[out[on] < room[on]]  # others are at the end of a stretch
+            a[on], b[on] = a[on] + step, b[on] + step
+        return out
+
+    def factors(self) -> tuple[np.ndarray, np.ndarray]:
+        """The places and lengths (windows) of the factors of all stretches: greedily the longest, the next one from the first repeated window after it."""
+        total = len(self.row)
+        places = np.arange(total)
+        hit = np.minimum.accumulate(np.where(self.long > 0, places, total)[::-1])[::-1]  # the first repeated window from each place on
+        end = places + self.left
+        now = np.flatnonzero(np.diff(self.row, prepend=-1))
+        found: list[np.ndarray] = []
+        while len(now):
+            stop, now = end[now], hit[now]
+            now = now[now < stop]
+            found.append(now)
+            ahead = now + self.long[now]
+            now = ahead[ahead < end[now]]
+        at = np.sort(np.concatenate(found)) if found else np.zeros(0, np.int64)
+        return at, self.long[at]
+
+
+def _ranked(major: np.ndarray, minor: np.ndarray) -> np.ndarray:
+    """Numbers in the order of (major, minor), equal for equal pairs."""
+    order = np.lexsort((minor, major))
+    new = np.ones(len(order), bool)
+    new[1:] = (major[order[1:]] != major[order[:-1]]) | (minor[order[1:]] != minor[order[:-1]])
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(new) - 1
+    return out
+
+
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (stretches) come sorted by anchor, did, th, start. The factors of each, parsed against the block of its anchor; a block's rows are looked at together."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
@@ -148,52 +221,40 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchor = np.asarray(batch.column("anchor"))
         cut = int(np.flatnonzero(anchor != anchor[-1])[-1]) + 1 if anchor[0] != anchor[-1] else 0
         if cut:
-            yield from _pieces([*held, batch.slice(0, cut)])
+            yield from _block_factors([*held, batch.slice(0, cut)])
             held = [batch.slice(cut)]
         elif held and held[-1].column("anchor")[0].as_py() != anchor[0]:
-            yield from _pieces(held)
+            yield from _block_factors(held)
             held = [batch]
         else:
             held.append(batch)
-    yield from _pieces(held)
+    yield from _block_factors(held)
 
 
-def _pieces(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _block_factors(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if not batches:
         return
     rows = pa.Table.from_batches(batches).combine_chunks()
     one = lambda c: rows.column(c).combine_chunks() if rows.column(c).num_chunks != 1 else rows.column(c).chunk(0)
     lists = one("windows")
     bounds = np.asarray(lists.offsets).astype(np.int64)
-    values = np.asarray(lists.values)[bounds[0] : bounds[-1]].view(np.uint64)
+    values = np.asarray(lists.values)[bounds[0] : bounds[-1]]
     bounds = bounds - bounds[0]
-    size = np.diff(bounds)
-    row = np.repeat(np.arange(len(size)), size)
     anchor, did, start = (np.asarray(one(c)) for c in ("anchor", "did", "start"))
-    place = start[row] + np.arange(len(row)) - np.repeat(bounds[:-1], size)
-    order = np.lexsort((np.arange(len(row)), values, anchor.view(np.uint64)[row]))
-    same = (values[order][1:] == values[order][:-1]) & (anchor[row[order]][1:] == anchor[row[order]][:-1])
-    first = np.concatenate(([True], ~same))
-    group = np.cumsum(first) - 1
-    source, often = np.empty(len(row), np.int64), np.empty(len(row), bool)
-    source[order] = order[first][group]  # rows are in order, so the first is the smallest place
-    often[order] = np.bincount(group)[group] > 1
-    hit = np.flatnonzero(often)
-    if not len(hit):
+    block = Block(values, bounds, anchor)
+    at, n = block.factors()
+    if not len(at):
         return
-    new = np.ones(len(hit), bool)
-    new[1:] = (np.diff(hit) != 1) | (np.diff(row[hit]) != 0) | (np.diff(row[source[hit]]) != 0) | (np.diff(place[source[hit]]) != 1)
-    head = hit[new]
-    n = np.diff(np.append(np.flatnonzero(new), len(hit)))
-    take = pa.array(row[head])
+    place = start[block.row] + np.arange(len(block.row)) - bounds[block.row]
+    source, take = block.source[at], pa.array(block.row[at])
     yield pa.RecordBatch.from_arrays(
-        [one("did").take(take), one("th").take(take), pa.array(place[head].astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(did[row[source[head]]]), pa.array(place[source[head]].astype(np.int32))],
+        [one("did").take(take), one("th").take(take), pa.array(place[at].astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(did[block.row[source]]), pa.array(place[source].astype(np.int32))],
         ["did", "th", "start", "n", "source", "source_start"],
     )
 
 
 def _factors(starts: np.ndarray, n: np.ndarray, source: np.ndarray, source_start: np.ndarray, span: int) -> list[dict]:
-    """Repeated windows that follow each other, glued: each factor goes on as long as the windows' first places do; not a greedy longest match."""
+    """A document's factors (words), from those of its blocks (windows) in order: one that goes on in the next block with the same source is one."""
     out: list[dict] = []
     end = 0
     for a, k, doc, at in zip(starts.tolist(), n.tolist(), source.tolist(), source_start.tolist(), strict=True):
@@ -212,23 +273,23 @@ def _cutter(span: int, with_text: bool):
             words = find_words(batch.column("text"))
             count = words.counts
             texts = words.bytes.tobytes()
-            repeated = batch.column("copies").to_pylist()
+            repeated, own = batch.column("copies").to_pylist(), batch.column("did").to_pylist()
             lists = batch.column("hits")
             bounds, found = np.asarray(lists.offsets), lists.values
             hits = [np.asarray(found.field(x)) for x in ("start", "n", "source", "source_start")]
             out = {"n_removed": [], "kept": [], "factors": []}
             for i in range(batch.num_rows):
-                gone = np.zeros(count[i] + 1, np.int32)
                 factors: list[dict] = []
                 if repeated[i] is not None and repeated[i]["n"] > 1 and count[i] >= span:
-                    gone[0], gone[-1] = 1, -1
-                    factors = [{"start": 0, "n": int(count[i]), "source": repeated[i]["first"], "source_start": 0}]
+                    other = repeated[i]["first"] if repeated[i]["first"] != own[i] else repeated[i]["last"]
+                    factors = [{"start": 0, "n": int(count[i]), "source": other, "source_start": 0}]
                 elif bounds[i + 1] > bounds[i]:
                     order = np.argsort(hits[0][bounds[i] : bounds[i + 1]])
-                    starts, n, source, source_start = (x[bounds[i] : bounds[i + 1]][order] for x in hits)
-                    np.add.at(gone, starts, 1)
-                    np.add.at(gone, starts + n - 1 + span, -1)
-                    factors = _factors(starts, n, source, source_start, span)
+                    factors = _factors(*(x[bounds[i] : bounds[i + 1]][order] for x in hits), span)
+                gone = np.zeros(count[i] + 1, np.int32)
+                for f in factors:
+                    gone[f["start"]] += 1
+                    gone[f["start"] + f["n"]] -= 1
                 stay = np.flatnonzero(np.cumsum(gone)[:-1] == 0) + words.first[i]
                 kept = b" ".join([texts[a:b] for a, b in zip(words.start[stay].tolist(), words.end[stay].tolist(), strict=True)])
                 out["n_removed"].append(int(count[i]) - len(stay))
@@ -247,31 +308,33 @@ def without_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, with_te
     """doc_id, n_words, n_removed, kept_text and factors of each row of docs (doc_id, text).
 
     Every word goes that is covered by a window of span words whose words also stand, in order, anywhere else. Words that stay are joined by a
-    blank. with_text=False gives kept_sha256 in place of kept_text. A factor's source is the first place of its words, in the order of doc_id.
+    blank. with_text=False gives kept_sha256 in place of kept_text. A factor is start and n (words), and another place where its words stand: source (a doc_id; the smallest bigint
+    for none) and source_start.
     """
-    rows = docs.select(
-        F.col("doc_id"), F.col("text").cast("string").alias("text"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("did"), F.xxhash64(F.col("text").cast("string")).alias("th")
-    )
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id"), text.alias("text"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("did"), F.xxhash64(text).alias("th"))
     keys = ["did", "th"]
     anchors = written(rows.mapInArrow(_anchorer(span, gram), "anchor bigint, did bigint, th bigint, place int, twice boolean"), "anchors")
     # equal texts don't make an anchor shared: they are told by their hash below
-    gathered = anchors.groupBy("anchor").agg(F.min("th").alias("_low"), F.max("th").alias("_high"), F.max("twice").alias("_twice"), F.count("*").alias("_n"))
-    shared = gathered.filter("_low <> _high OR _twice").select("anchor", (F.col("_n") > HOT).alias("hot"))
-    flagged = anchors.select("anchor", *keys, "place").join(shared, "anchor").groupBy(*keys).agg(F.collect_list(F.struct("place", "hot")).alias("places"), F.max("hot").alias("any_hot"), F.min("hot").alias("all_hot"))
+    gathered = anchors.groupBy("anchor").agg(F.min("th").alias("_low"), F.max("th").alias("_high"), F.max("twice").alias("_twice"), F.count("*").alias("n"))
+    shared = written(gathered.filter("_low <> _high OR _twice").select("anchor", "n", (F.col("n") > HOT).alias("hot")), "shared")
+    flagged = meet(anchors.select("anchor", *keys, "place"), shared, ["anchor"]).groupBy(*keys).agg(F.collect_list(F.struct("place", "hot")).alias("places"), F.max("hot").alias("any_hot"), F.min("hot").alias("all_hot"))
 
-    same = rows.filter("text IS NOT NULL").groupBy("th", F.length("text").alias("chars")).agg(F.count("*").alias("n"), F.min("did").alias("first")).filter("n > 1")
-    copies = rows.filter("text IS NOT NULL").select(*keys, F.length("text").alias("chars")).distinct().join(same, ["th", "chars"]).select(*keys, F.struct("n", "first").alias("copies"))
+    full, chars = rows.filter("text IS NOT NULL"), F.length("text").alias("chars")
+    same = written(full.groupBy("th", chars).agg(F.count("*").alias("n"), F.min("did").alias("first"), F.max("did").alias("last")).filter("n > 1").withColumn("copies", F.struct("n", "first", "last")).select("th", "chars", "n", "copies"), "same")
+    copies = written(meet(full.select(*keys, chars).distinct(), same, ["th", "chars"]).select(*keys, "copies"), "copies")
     first_only = written(flagged.join(copies, keys, "left").filter(F.col("copies").isNull() | (F.col("copies.first") == F.col("did"))).select(*keys, "places", "any_hot", "all_hot"), "places")  # two kinds of windows are made of it
 
     dealt = rows.select("doc_id", "text", *keys).repartition(*keys)
     looked = dealt.join(first_only, keys)  # repeated rows double their windows, which are repeated anyway
-    runs = looked.filter("NOT all_hot").select(*keys, "text", "places").mapInArrow(_window_runs(span, gram), "anchor bigint, did bigint, th bigint, start int, windows array<bigint>")
-    pieces = runs.repartition("anchor").sortWithinPartitions("anchor", "did", "start").mapInArrow(_repeated, PIECE)
+    stretches = looked.filter("NOT all_hot").select(*keys, "text", "places").mapInArrow(_window_runs(span, gram), "anchor bigint, did bigint, th bigint, start int, windows array<bigint>")
+    pieces = stretches.repartition("anchor").sortWithinPartitions("anchor", *keys, "start").mapInArrow(_parsed, PIECE)
     singles = looked.filter("any_hot").select(*keys, "text", "places").mapInArrow(_single_windows(span, gram), "window bigint, anchor bigint, did bigint, th bigint, start int")
-    often = singles.groupBy("window", "anchor").agg(F.count("*").alias("_n"), F.min(F.struct("did", "start")).alias("source")).filter("_n > 1").drop("_n")
-    hot_pieces = singles.join(often, ["window", "anchor"]).select(*keys, "start", F.lit(1).alias("n"), F.col("source.did").alias("source"), F.col("source.start").alias("source_start"))
+    often = singles.groupBy("window", "anchor").agg(F.count("*").alias("n"), F.min(F.struct("did", "start")).alias("low"), F.max(F.struct("did", "start")).alias("high")).filter("n > 1")
+    first = F.when(F.struct("did", "start") == F.col("low"), F.col("high")).otherwise(F.col("low"))
+    hot_pieces = meet(singles, written(often, "often"), ["window", "anchor"]).withColumn("from", first).select(*keys, "start", F.lit(1).alias("n"), F.col("from.did").alias("source"), F.col("from.start").alias("source_start"))
     hits = pieces.unionByName(hot_pieces).groupBy(*keys).agg(F.collect_list(F.struct("start", "n", "source", "source_start")).alias("hits"))
-    placed = dealt.join(hits, keys, "left").join(copies, keys, "left").select("doc_id", "text", "hits", "copies")
+    placed = dealt.join(hits, keys, "left").join(copies, keys, "left").select("doc_id", "text", "did", "hits", "copies")
     kept = "kept_text" if with_text else "kept_sha256"
     return placed.mapInArrow(_cutter(span, with_text), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_words bigint, n_removed bigint, {kept} string, factors {FACTORS}")
 

@@ -82,12 +82,50 @@ def test_anchors_are_in_every_window():
 
 
 @pytest.mark.parametrize("cuts", [[], [1, 2, 3, 4], [2], [3]])
-def test_anchors_over_any_batches(cuts):
+def test_blocks_over_any_batches(cuts):
     rows = [(1, 1, 0, [5, 6]), (2, 1, 3, [7]), (2, 2, 9, [7, 8]), (2, 3, 4, [6, 7, 8]), (3, 1, 0, [5])]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())]
     made = [pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*[(a, d, 0, s, w) for a, d, s, w in rows[i:j]]), kinds, strict=True)], ["anchor", "did", "th", "start", "windows"]) for i, j in zip([0, *cuts], [*cuts, 5], strict=True)]
-    got = sorted(tuple(r.values()) for b in S._repeated(iter(made)) for r in b.to_pylist())
-    assert got == [(1, 0, 3, 1, 1, 3), (2, 0, 9, 1, 1, 3), (2, 0, 10, 1, 2, 10), (3, 0, 5, 1, 1, 3), (3, 0, 6, 1, 2, 10)]
+    got = sorted(tuple(r.values()) for b in S._parsed(iter(made)) for r in b.to_pylist())
+    assert got == [(1, 0, 3, 1, 2, 9), (2, 0, 9, 2, 3, 5), (3, 0, 5, 2, 2, 9)]
+
+
+def test_block_against_all_places():
+    """The longest match of each place with any other, by trying all; factors cover just the repeated windows."""
+    rng = random.Random(3)
+    for _ in range(60):
+        rows = [[rng.randrange(4) for _ in range(rng.randrange(0, 12))] for _ in range(rng.randrange(1, 9))]
+        kinds = np.array([rng.randrange(2) for _ in rows])
+        bounds = np.cumsum([0, *map(len, rows)])
+        block = S.Block(np.array([x for r in rows for x in r], np.int64), bounds, kinds)
+        spots = [(i, j) for i, r in enumerate(rows) for j in range(len(r))]
+
+        def common(a, b):
+            (i, j), (k, m) = a, b
+            x, y = rows[i][j:], rows[k][m:]
+            n = next((q for q in range(min(len(x), len(y))) if x[q] != y[q]), min(len(x), len(y)))
+            return n if kinds[i] == kinds[k] else 0
+
+        longest = [max((common(a, b) for b in spots if b != a), default=0) for a in spots]
+        assert block.long.tolist() == longest
+        assert all(common(a, spots[block.source[p]]) == n and block.source[p] != p for p, (a, n) in enumerate(zip(spots, longest, strict=True)) if n)
+        at, n = block.factors()
+        covered = {p for a, k in zip(at.tolist(), n.tolist(), strict=True) for p in range(a, a + k)}
+        assert covered == {p for p, k in enumerate(longest) if k}
+        assert all(k == longest[a] and (a == 0 or a - 1 not in covered or longest[a - 1] == 0 or any(b + m == a for b, m in zip(at, n, strict=True))) for a, k in zip(at.tolist(), n.tolist(), strict=True))
+
+
+def test_nothing_goes_without_factors(spark, monkeypatch):
+    run = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, run), (2, "a " + run), (3, run)]
+    assert [x[2] for x in found(spark, rows, 35, 8)] == [60, 60, 60]
+
+    def no_factors(batches):
+        for _ in batches:
+            yield from ()
+
+    monkeypatch.setattr(S, "_parsed", no_factors)
+    assert [x[2] for x in found(spark, rows, 35, 8)] == [60, 0, 60]  # the equal texts alone, each of which is one factor
 
 
 def test_factors_are_copies(spark):
