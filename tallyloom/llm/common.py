@@ -60,8 +60,8 @@ def written(df: DataFrame, label: str) -> DataFrame:
 PIECES, LEAST_PIECE = 1024, 100
 
 
-def meet(rows: DataFrame, keyed: DataFrame, on: list[str], n: str = "n") -> DataFrame:
-    """rows joined with keyed, a written table with one row a key and the number n of its rows among rows; keys that many rows share are split.
+def meet(rows: DataFrame, keyed: DataFrame, on: list[str], n: str = "n", how: str = "inner") -> DataFrame:
+    """rows joined (inner or left) with keyed, a written table with one row a key and the number n of its rows among rows; keys that many rows share are split.
 
     Fewer than PIECES keys can have more than 1 / PIECES of all rows, so their list is small at any size and is broadcast: rows learn from it into
     how many pieces their key is split, and the key's row of keyed is copied to every piece. Other keys stay whole.
@@ -69,12 +69,12 @@ def meet(rows: DataFrame, keyed: DataFrame, on: list[str], n: str = "n") -> Data
     total, top = keyed.agg(F.coalesce(F.sum(n), F.lit(0)), F.coalesce(F.max(n), F.lit(0))).first()
     most = max(LEAST_PIECE, int(total) // PIECES)
     if top <= most:
-        return rows.join(keyed.drop(n), on)
+        return rows.join(keyed.drop(n), on, how)
     pieces = F.ceil(F.col(n) / most).cast("int")
     hot = keyed.filter(F.col(n) > most).select(*on, pieces.alias("_pieces"))
     dealt = rows.join(F.broadcast(hot), on, "left").withColumn("_piece", F.coalesce(F.pmod(F.xxhash64(*rows.columns), F.col("_pieces")), F.lit(0)).cast("int")).drop("_pieces")
     copied = keyed.withColumn("_piece", F.explode(F.sequence(F.lit(0), F.when(F.col(n) > most, pieces - 1).otherwise(0)))).drop(n)
-    return dealt.join(copied, [*on, "_piece"]).drop("_piece")
+    return dealt.join(copied, [*on, "_piece"], how).drop("_piece")
 
 
 def words_of(text: Column) -> Column:

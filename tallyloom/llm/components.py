@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import checkpointed
+from tallyloom.llm.common import checkpointed, meet, written
 
 
 def components(edges: DataFrame) -> DataFrame:
     """node and root, the smallest node reachable, for each node of edges (a, b) that isn't its own root.
 
     Each round joins edges to the smallest neighbour of a node, never nodes of a group to each other, and is written
-    to the checkpoint folder. Rounds grow with the logarithm of the longest path. Null ends and loops are left out.
+    to the checkpoint folder. A node that many edges share is split among tasks. Rounds grow with the logarithm of the longest path. Null ends and loops are left out.
     """
     now = checkpointed(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     before = None
@@ -27,13 +27,13 @@ def components(edges: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Links each larger neighbour of a node to the smallest."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
-    return both.filter("v > u").join(least, F.col("u") == F.col("w")).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+    least = written(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count("*").alias("n")), "stars")
+    return meet(both.filter("v > u"), least, ["u"]).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Links a node and its smaller neighbours to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), "m")
-    linked = down.join(least, F.col("u") == F.col("w")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return linked.union(least.select(F.col("w").alias("u"), F.col("m").alias("v"))).filter("u <> v").distinct()
+    least = written(down.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "stars")
+    linked = meet(down, least, ["u"]).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return linked.union(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()

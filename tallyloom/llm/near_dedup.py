@@ -14,10 +14,11 @@ looked at again, in the bucket or where a group meets all its neighbours: classe
 goes on; so every pair within the distance that has a key in common ends in one group. Then the full sets of a group are compared, again a
 block with another at a time. A class that is not yet linked to the largest component of its block meets all others there, so a large family of
 near copies takes a few rounds and only its stragglers meet everyone; what goes on is at most one link for each class and block. What is kept between
-steps is written to the checkpoint folder.
+steps is written to the checkpoint folder. Classes, groups and nodes that many rows share are split among tasks.
 
-Null, empty and blank texts have no set and are linked with nothing; so are rows with a null doc_id. Rows with the same
-doc_id are one node. Columns of other names don't matter.
+Null, empty and blank texts have no set and are linked with nothing. In near_duplicates() so are rows with a null doc_id, and rows with the same
+doc_id are one node, whose texts' links it has all; without_near_copies() judges each row by its own text. A text is never cut, however long. Of a group the smallest doc_id stands for it,
+null last. Columns of other names don't matter.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import checkpointed, table, text_slices, written
+from tallyloom.llm.common import checkpointed, meet, table, text_slices, written
 from tallyloom.llm.components import components
 from tallyloom.llm.wordhash import find_words, grams, mix, signed
 
@@ -112,7 +113,7 @@ def _sketcher(n: int):
             sums = [np.concatenate(([_U(0)], np.cumsum(h)))[first] for h in (mix(hashes + _U(1)), mix(hashes + _U(2)))]
             set1, set2 = (x[1:] - x[:-1] for x in sums)
             sig = [x.tobytes() for x in signatures(hashes, first)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(first)), signed(set1), signed(set2), pa.array(sig, pa.binary())], ["doc_id", "n", "set1", "set2", "sig"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("th"), pa.array(np.diff(first)), signed(set1), signed(set2), pa.array(sig, pa.binary())], ["doc_id", "th", "n", "set1", "set2", "sig"])
 
     return run
 
@@ -171,7 +172,7 @@ def _sets(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
             hashes, first = shingle_sets(batch.column("text"), n)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), signed(hashes))], ["node", "set"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), signed(hashes))], ["node", "set"])
 
     return run
 
@@ -287,18 +288,80 @@ def _tiled(rows: DataFrame, key: str, blocks: Column, *carried: str) -> DataFram
     return every.select(key, *side, "node", *carried).repartition(key, "left", "right").sortWithinPartitions(key, "left", "right", "half", "node")
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and its hash th."""
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("th", F.xxhash64("text"))
+
+
+def _sketch(rows: DataFrame, shingle: int) -> DataFrame:
+    """Set size, set hashes and signature of each row, with node, the hash that its class goes by (null without a set)."""
+    sketch = checkpointed(rows.mapInArrow(_sketcher(shingle), "doc_id bigint, th bigint, n bigint, set1 bigint, set2 bigint, sig binary"))
+    return sketch.withColumn("node", F.when(F.col("n") > 0, F.xxhash64("n", "set1", "set2")))
+
+
+def _classes(real: DataFrame) -> DataFrame:
+    """One row a class of equal sets: its node, number of rows and first row (by doc_id, null last, and text)."""
+    at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
+    return checkpointed(real.groupBy("node", "n", "set1", "set2").agg(F.min(at).alias("first"), F.first("sig").alias("sig"), F.count("*").alias("rows"))).drop("set1", "set2")
+
+
+def _members(groups: DataFrame) -> DataFrame:
+    """node and group of all nodes, roots too."""
+    return groups.select("node", F.col("root").alias("group")).unionByName(groups.select(F.col("root").alias("node"), F.col("root").alias("group")).distinct())
+
+
+def _firsts(classes: DataFrame, roots: DataFrame) -> DataFrame:
+    """node, the first row of its group, and the class's number of rows, as a written table; a class that is linked with nothing is its own group."""
+    members = checkpointed(_members(roots).join(classes.select("node", "first"), "node"))
+    least = written(members.groupBy("group").agg(F.min("first").alias("best"), F.count("*").alias("n")), "groups")
+    linked = meet(members.select("node", "group"), least, ["group"]).select("node", "best")
+    return written(classes.select("node", "first", "rows").join(linked, "node", "left").select("node", F.coalesce("best", "first").alias("best"), F.col("rows").alias("n")), "firsts")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles and component_id, the smallest doc_id that links reach, for each row of docs (doc_id, text).
 
     percent is at least 80, for which the signatures are made.
     """
+    rows = _keyed(docs)
+    sketch = _sketch(rows, shingle).withColumn("node", F.when(F.col("doc_id").isNotNull(), F.col("node")))
+    real = sketch.filter("node IS NOT NULL")
+    classes = _classes(real)
+    several = real.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("_high")).filter("a <> _high").select("doc_id", "a")
+    one_id = real.select("doc_id", F.col("node").alias("b")).join(several, "doc_id").select("a", "b")
+    named = _firsts(classes, _roots(rows, classes, shingle, percent, one_id))
+    placed = meet(sketch.select("doc_id", "n", "node").withColumnRenamed("n", "n_shingles"), named, ["node"], how="left")
+    return placed.select("doc_id", "n_shingles", F.coalesce("best.doc_id", "doc_id").alias("component_id"))
+
+
+def without_near_copies(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs (whose columns can be ordered) without near copies: of each group one row stays, that with the smallest doc_id.
+
+    Rows are judged by their texts: one doc_id on two texts doesn't link them. Of repeated rows (equal doc_id and text) one stays, the first by its other columns.
+    """
+    rows = _keyed(docs)
+    sketch = _sketch(rows, shingle)
+    real = sketch.filter("node IS NOT NULL")
+    classes = _classes(real)
+    named = _firsts(classes, _roots(rows, classes, shingle, percent))
+    judged = meet(real.select("doc_id", "th", "node"), named, ["node"])
+    stays = (F.col("best.doc_id").eqNullSafe(F.col("doc_id"))) & (F.col("best.th") == F.col("th"))
+    told = judged.groupBy(_did(), "th").agg(F.max(stays).alias("stays"), F.count("*").alias("n"))
+    odd = written(told.filter("NOT stays OR n > 1"), "copies")
+    keyed = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("th")).select("row", _did(), "th")
+    whole = keyed.join(odd.select("did", "th"), ["did", "th"], "left_anti").select("row.*")
+    one = keyed.join(odd.filter("stays").select("did", "th"), ["did", "th"], "left_semi").groupBy("did", "th").agg(F.min("row").alias("row")).select("row.*")
+    return whole.unionByName(one)
+
+
+def _did() -> Column:
+    return F.coalesce(F.col("doc_id"), F.lit(-(2**63))).alias("did")
+
+
+def _roots(rows: DataFrame, classes: DataFrame, shingle: int, percent: int, more: DataFrame | None = None) -> DataFrame:
+    """node and root of all classes that links of full sets, and the links more, join with others."""
     if percent < 80:
         raise ValueError("the signatures are made for a similarity of 0.8 or more")
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketch = checkpointed(rows.mapInArrow(_sketcher(shingle), "doc_id bigint, n bigint, set1 bigint, set2 bigint, sig binary"))
-    real = sketch.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = checkpointed(real.groupBy("n", "set1", "set2").agg(F.min("doc_id").alias("node"), F.first("sig").alias("sig")))
-
     spelled = classes.filter("n >= 4").select("node", "sig").mapInArrow(_spell, "node bigint, keys array<bigint>")
     dealt = spelled.select(F.explode("keys").alias("key"), "node").repartition("key").sortWithinPartitions("key", F.xxhash64("node", F.pmod("key", F.lit(LEADS))))
     buckets = written(dealt.mapInArrow(_runs, "key bigint, node bigint, lead bigint, many boolean"), "buckets")
@@ -311,11 +374,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     bridges = checkpointed(_between_groups(buckets, sized, groups))
     if not bridges.isEmpty():
         groups = components(bridges.unionByName(groups.select(F.col("node").alias("a"), F.col("root").alias("b"))))
-    roots = components(_links(rows, classes, groups, shingle, percent))
-
-    named = classes.join(roots, "node", "left").select(F.xxhash64("n", "set1", "set2").alias("class"), F.coalesce("root", "node").alias("component_id"))
-    placed = sketch.withColumn("class", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.xxhash64("n", "set1", "set2")))
-    return placed.join(named, "class", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    links = _links(rows, classes, groups, shingle, percent)
+    return components(links if more is None else links.unionByName(more))
 
 
 def _between_groups(buckets: DataFrame, sized: DataFrame, groups: DataFrame) -> DataFrame:
@@ -324,8 +384,8 @@ def _between_groups(buckets: DataFrame, sized: DataFrame, groups: DataFrame) ->
     Classes meet bucket by bucket, or at hubs: the largest group of each such bucket with all groups that it shares one with, where a pair meets
     once however many buckets it shares. Both compare all pairs that share a bucket; the one that deals out fewer rows is taken.
     """
-    members = groups.select("node", F.col("root").alias("group")).unionByName(groups.select(F.col("root").alias("node"), F.col("root").alias("group")).distinct())
-    named = members.join(members.groupBy("group").agg(F.count("*").alias("of")), "group")
+    members = _members(groups)
+    named = meet(members, written(members.groupBy("group").agg(F.count("*").alias("of")).withColumn("n", F.col("of")), "sizes"), ["group"])
     grouped = buckets.filter("many").select("key", "node").join(named, "node", "left").select("key", "node", F.coalesce("group", "node").alias("group"), F.coalesce("of", F.lit(1)).alias("of"))
     held = grouped.groupBy("key", "group", "of").agg(F.count("*").alias("rows"))
     most = held.groupBy("key").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.max(F.struct("of", "group")).alias("most"), F.sum("rows").alias("size"))
@@ -347,15 +407,38 @@ def _between_groups(buckets: DataFrame, sized: DataFrame, groups: DataFrame) ->
 
 def _links(docs: DataFrame, classes: DataFrame, groups: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links (a, b) between full sets, as many as connect what all links connect."""
-    members = groups.select("node", F.col("root").alias("group")).unionByName(groups.select(F.col("root").alias("node"), F.col("root").alias("group")).distinct())
-    known = checkpointed(members.join(classes.select("node", "n"), "node"))
+    known = checkpointed(_members(groups).join(classes.select("node", "n", F.coalesce("first.doc_id", F.lit(-(2**63))).alias("did"), F.col("first.th").alias("th")), "node"))
     sizes = known.groupBy("group").agg(F.count("*").alias("size"), F.sum("n").alias("shingles"))
     blocks = F.greatest(F.least(F.ceil(F.col("size") / SET_BLOCK), F.lit(MOST_BLOCKS)), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
-    placed = known.join(sizes, "group").select("node", "group", blocks.alias("cuts"))
-    sets = docs.join(known.select(F.col("node").alias("id")).distinct(), F.col("doc_id") == F.col("id"), "left_semi").mapInArrow(_sets(shingle), "node bigint, set array<bigint>")
-    return _tiled(sets.join(placed, "node"), "group", F.col("cuts"), "set").mapInArrow(_verifier(percent), "a bigint, b bigint")
+    placed = meet(known.select("node", "group", "did", "th"), written(sizes.select("group", blocks.alias("cuts"), F.col("size").alias("n")), "cuts"), ["group"])
+    texts = docs.select("text", _did(), "th").join(known.select("node", "did", "th"), ["did", "th"]).select("node", "text")
+    sets = texts.mapInArrow(_sets(shingle), "node bigint, set array<bigint>")
+    return _tiled(sets.join(placed.select("node", "group", "cuts"), "node"), "group", F.col("cuts"), "set").mapInArrow(_verifier(percent), "a bigint, b bigint")
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
     return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
+OP10_SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE len(w) WHEN 0 THEN [] WHEN 1 THEN w ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM split
+), items AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS same FROM items a JOIN items b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+), linked AS (
+  SELECT a, b FROM common WHERE 100 * same >= 80 * (na + nb - same)
+), ways AS (
+  SELECT a, b FROM linked UNION ALL SELECT b, a FROM linked
+), reach(a, b) AS (
+  SELECT doc_id, doc_id FROM sets UNION SELECT r.a, w.b FROM reach r JOIN ways w ON r.b = w.a
+), roots AS (
+  SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT s.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, s.doc_id = component_id AS kept FROM sets s JOIN roots r ON s.doc_id = r.doc_id
+"""

@@ -341,3 +341,24 @@ def without_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, with_te
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents"), with_text=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+OP9_SQL = r"""
+WITH split AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), starts AS (
+  SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM split
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 34], ' ') AS said FROM starts
+), often AS (
+  SELECT said FROM windows GROUP BY said HAVING count(*) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, i + d AS k FROM windows JOIN often USING (said), (SELECT unnest(range(35)) AS d) AS steps
+), words AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM split
+), kept AS (
+  SELECT a.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY a.k) AS said FROM words a ANTI JOIN gone g ON a.doc_id = g.doc_id AND a.k = g.k GROUP BY a.doc_id
+)
+SELECT s.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(said, '')) AS kept_sha256
+FROM split s LEFT JOIN kept k ON s.doc_id = k.doc_id
+"""

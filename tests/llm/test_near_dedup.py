@@ -5,6 +5,7 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from oracle import assert_same
 
 from tallyloom.llm import near_dedup as N
 from tallyloom.llm.components import components
@@ -148,3 +149,36 @@ def test_components(spark):
             root[b] = a
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {x: find(x) for x in root if x is not None and find(x) != x}
+
+
+def test_one_id_on_several_texts(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(20)) for x in "abc")
+    rows = [(1, a), (5, a), (5, b), (7, b), (9, c), (9, b + " more"), (11, c)]
+    got = sorted((r.doc_id, r.component_id) for r in N.near_duplicates(spark.createDataFrame(rows, DOCS), 2).collect())
+    assert got == [(1, 1), (5, 1), (5, 1), (7, 1), (9, 1), (9, 1), (11, 1)]
+    got = N.near_duplicates(spark.createDataFrame([(5, a), (5, b), (7, c)], DOCS), 2).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(5, 5), (5, 5), (7, 7)]
+
+
+def test_without_near_copies_judges_texts(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(1, a, "x"), (5, a, "x"), (5, b, "x"), (None, c, "x"), (None, c, "y"), (None, c, "x"), (8, c + " more", "z"), (9, None, "x"), (9, None, "x"), (10, "", "x"), (11, a + " more", "x"), (12, "w", "x"), (12, "w", "x")]
+    got = sorted((tuple(r) for r in N.without_near_copies(spark.createDataFrame(rows, DOCS + ", th string"), 5).collect()), key=str)
+    want = [(1, a, "x"), (5, b, "x"), (8, c + " more", "z"), (9, None, "x"), (9, None, "x"), (10, "", "x"), (12, "w", "x")]
+    assert got == sorted(want, key=str)
+    assert N.without_near_copies(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_split_keys_give_the_same(spark, monkeypatch):
+    from tallyloom.llm import common
+
+    monkeypatch.setattr(common, "LEAST_PIECE", 2)
+    monkeypatch.setattr(common, "PIECES", 8)
+    rng = random.Random(2)
+    rows = list(enumerate([*family(rng, [f"w{i}" for i in range(300)], 60, 60, 4), *["the same words here"] * 40, *["other words"] * 3]))
+    assert found(spark, rows, 2) == plain(rows, 2)
+
+
+def test_query_against_sql(spark, sf_dir):
+    path = sf_dir.replace("sf0.001", "sf0.01")
+    assert_same(N.op10_near_dedup(spark, path), path, N.OP10_SQL)

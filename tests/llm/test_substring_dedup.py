@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from oracle import assert_same
 from pyspark.sql import functions as F
 
 from tallyloom.llm import substring_dedup as S
@@ -142,3 +143,8 @@ def test_rows_of_one_id_with_equal_32_bit_hashes(spark):
     a, b = kinds[0].join(kinds[1], "h").select("a", "b").first()
     got = found(spark, [(1, passage + " end"), (None, a), (None, b)], 35, 8)
     assert (None, 41, 0, b) in got and (None, 41, 40, a.split()[-1]) in got
+
+
+def test_query_against_sql(spark, sf_dir):
+    path = sf_dir.replace("sf0.001", "sf0.01")
+    assert_same(S.op9_substring_dedup(spark, path), path, S.OP9_SQL)
