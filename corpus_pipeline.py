@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import decontamination, language_id, line_dedup, near_dedup, piece_lattice
-from tallyloom.llm.common import ensure_checkpoint_dir, table
+from tallyloom.llm.common import discarded, ensure_checkpoint_dir, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A document stays if it has a language whose spans hold at least this share of its letters.
@@ -36,9 +36,8 @@ def cut_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies, the document with the smallest doc_id stays."""
-    found = near_dedup.near_duplicates(docs, SHINGLE).filter("component_id <> doc_id").select(F.col("doc_id").alias("_copy")).distinct()
-    return docs.join(found, docs["doc_id"] == found["_copy"], "left_anti").select(COLUMNS)
+    """Of each group of near copies, the document with the smallest doc_id stays; documents are told apart by doc_id and text."""
+    return near_dedup.without_near_copies(docs.select(COLUMNS), SHINGLE)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,12 +60,18 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents. Each result is written to the shared folder that the session names, and read from there."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over documents. Each result is written to the shared folder that the session names, and read from there.
+
+    A stage's result goes when the next one's is written, the last one when the driver ends.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = f"{ensure_checkpoint_dir(spark)}/pipeline-{name}-{uuid.uuid4().hex}"
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        discarded(spark, path)
+        if before is not None:
+            discarded(spark, before, now=True)
+        docs, before = spark.read.parquet(path), path
     return docs
 
 
