@@ -1,15 +1,19 @@
 """Chat formatting: event logs are folded into messages, and messages rendered with a loss mask.
 
-A log has the columns conv_id, msg_id, seq, op, turn, role and text. Each event concerns one message:
+A log has the columns conv_id, msg_id, seq, op, turn, role and text; seq is the order of a whole conversation. Events:
 
-* ``message`` sets role and text, ``open`` sets the role and begins an empty streamed message;
-* ``delta`` appends its text, ``edit`` replaces all text so far, ``regenerate`` discards it so that new deltas follow;
+* ``message`` sets role, turn and text of a message, ``open`` sets role and turn and begins an empty streamed one;
+* ``delta`` appends its text, ``edit`` replaces all text so far;
+* ``regenerate`` discards the message's text so that new deltas follow, and with it all that the conversation's later turns held by then;
 * ``delete`` removes the message; a later event of the same message brings it back.
 
-Events of a message apply in the order of seq (ties by op, then text). Any other op, or a null op, changes nothing.
-A null text is empty, a null role is the empty role. Messages stand in the order of turn (null first), role, text.
-Rows are dealt by conversation and message, so that one huge conversation is no single task's work, and a
-task holds one message at a time.
+Events apply in the order of seq (ties by msg_id, op, then text). Any other op, or a null op, changes nothing.
+A null text is empty, a null role is the empty role, a null conv_id or msg_id is one of its own. A message without ``message`` or ``open`` has role and turn of its
+first event that counts. Messages stand in the order of turn (null first), role, text.
+
+Rows are dealt by conversation. Each conversation is read from its last event backwards, so that what a later event undoes is known when it comes, and nothing but
+the numbers of its messages is held; events that count go on at once. Then, in the same partition, they are sorted by message and folded forwards, one message in memory.
+So a conversation of any length is one task's work but not its memory. Extra columns don't matter.
 """
 
 from __future__ import annotations
@@ -25,18 +29,59 @@ from tallyloom.llm.common import table
 
 START, END = "<|im_start|>", "<|im_end|>"
 MESSAGES = "conv_id bigint, turn bigint, role string, text string"
+LOG = "conv_id bigint, msg_id bigint, seq bigint, op string, turn bigint, role string, text string"
 #: Characters in one streamed delta of the query's log.
 DELTA_CHARS = 1024
 
 
 def reconstruct(events: DataFrame) -> DataFrame:
-    """The final messages (conv_id, turn, role, text) of a log."""
+    """The final messages (conv_id, turn, role, text) of a log, all of a conversation in one partition."""
     log = events.select(
         F.col("conv_id").cast("bigint"), F.col("msg_id").cast("bigint"), F.col("seq").cast("bigint"), F.coalesce("op", F.lit("")).alias("op"),
         F.col("turn").cast("bigint"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
     )
-    dealt = log.repartition("conv_id", "msg_id").sortWithinPartitions("conv_id", "msg_id", "seq", "op", "text")
-    return dealt.mapInArrow(_fold, MESSAGES)
+    last_first = [F.col(c).desc() for c in ("seq", "msg_id", "op", "text")]
+    counting = log.repartition("conv_id").sortWithinPartitions("conv_id", *last_first).mapInArrow(_counting, LOG)
+    return counting.sortWithinPartitions("conv_id", "msg_id", "seq", "op", "text").mapInArrow(_fold, MESSAGES)
+
+
+#: What is known of a message whose later events have been read: nothing yet, text to come first, only role and turn wanted, all.
+_NEW, _TEXT, _HEAD, _DONE = range(4)
+
+
+def _counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The events that no later one undoes, of conversations that come from their last event backwards; an event that only gives role and turn goes on as an empty ``open``."""
+    now, begun, cut = None, False, None
+    known: dict[int | None, int] = {}
+    for batch in batches:
+        keep: list[int] = []
+        heads: list[int] = []
+        for i, (conv, msg, op, turn) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("conv_id", "msg_id", "op", "turn")), strict=True)):
+            if not begun or conv != now:
+                now, begun, cut, known = conv, True, None, {}
+            if cut is not None and turn is not None and turn > cut:
+                continue
+            state = known.get(msg, _NEW)
+            if op == "regenerate":
+                at = -(2**63) if turn is None else turn
+                cut = at if cut is None else min(cut, at)
+            if op in ("message", "open") and state != _DONE:
+                (heads if state == _HEAD else keep).append(i)
+                known[msg] = _DONE
+            elif state in (_NEW, _TEXT):
+                if op == "delta":
+                    known[msg] = _TEXT
+                    keep.append(i)
+                elif op in ("edit", "regenerate"):
+                    known[msg] = _HEAD
+                    keep.append(i)
+                elif op == "delete":
+                    known[msg] = _HEAD if state == _TEXT else _DONE
+        yield batch.take(pa.array(keep, pa.int64()))
+        if heads:
+            rows = batch.take(pa.array(heads, pa.int64()))
+            n = len(heads)
+            yield pa.RecordBatch.from_arrays([*rows.columns[:3], pa.array(["open"] * n, pa.string()), *rows.columns[4:6], pa.array([""] * n, pa.string())], schema=rows.schema)
 
 
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,9 +169,12 @@ def parse(pieces: DataFrame) -> DataFrame:
 DIGESTS = "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
 
 
-def digest(pieces: DataFrame) -> DataFrame:
-    """Per conversation, what a reader gets back from the formatted output; a digest is fed turn by turn and never holds a conversation."""
-    back = parse(pieces.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "order_role", "order_text"))
+def digest(pieces: DataFrame, dealt: bool = False) -> DataFrame:
+    """Per conversation, what a reader gets back from the formatted output; a digest is fed turn by turn and never holds a conversation.
+
+    dealt: all pieces of a conversation are in one partition already, as reconstruct() leaves them.
+    """
+    back = parse((pieces if dealt else pieces.repartition("conv_id")).sortWithinPartitions("conv_id", "turn", "order_role", "order_text"))
     return back.select("conv_id", "role", "text", "loss_text", "formatted_chars").mapInArrow(_digests, DIGESTS)
 
 
@@ -160,25 +208,47 @@ def _digest_rows(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def as_log(conversations: DataFrame) -> DataFrame:
-    """A table of finished turns as the log that a streaming client would have left: assistant turns arrive in deltas."""
-    rows = conversations.select(
-        F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
-    ).withColumn("msg_id", F.monotonically_increasing_id())
-    deltas = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.length("text") - 1, F.lit(0)), F.lit(DELTA_CHARS)),
-        lambda at: F.struct((at + 1).cast("bigint").alias("seq"), F.lit("delta").alias("op"), F.substring(F.col("text"), at + 1, F.lit(DELTA_CHARS)).alias("text")),
-    )
-    opened = F.struct(F.lit(0).cast("bigint").alias("seq"), F.lit("open").alias("op"), F.lit("").alias("text"))
-    whole = F.array(F.struct(F.lit(0).cast("bigint").alias("seq"), F.lit("message").alias("op"), F.col("text").alias("text")))
-    each = F.explode(F.when(F.col("role") == "assistant", F.concat(F.array(opened), deltas)).otherwise(whole)).alias("e")
-    return rows.select("conv_id", "msg_id", "turn", "role", each).select("conv_id", "msg_id", "e.seq", "e.op", "turn", "role", "e.text")
+    """A table of finished turns as the log that a streaming client would have left.
+
+    Assistant turns are streamed twice: a first draft, to which the user answers, is regenerated, which undoes both. Other turns are sent short and then edited, after a message that was deleted.
+    """
+    rows = conversations.select(F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    return rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").mapInArrow(_record, LOG)
+
+
+def _record(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    now, begun, seq, msg = None, False, 0, 0
+    out: list[tuple] = []
+    size = 0
+    for batch in batches:
+        for conv, turn, role, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if not begun or conv != now:
+                now, begun, seq, msg = conv, True, 0, 0
+            if role == "assistant":
+                deltas = [("delta", msg, turn, role, text[i : i + DELTA_CHARS]) for i in range(0, len(text), DELTA_CHARS)]
+                answered = [] if turn is None else [("message", msg + 1, turn + 1, "user", "no, again")]
+                events = [("open", msg, turn, role, ""), ("delta", msg, turn, role, "a first draft"), *answered, ("regenerate", msg, turn, role, ""), *deltas]
+            else:
+                events = [("message", msg + 1, turn, role, "never mind"), ("delete", msg + 1, turn, role, ""), ("message", msg, turn, role, text[:16]), ("edit", msg, turn, role, text)]
+            out += [(conv, m, seq + k, op, at, who, said) for k, (op, m, at, who, said) in enumerate(events)]
+            seq, msg, size = seq + len(events), msg + 2, size + len(text)
+            if len(out) >= 4000 or size > 4 << 20:
+                yield _log_rows(out)
+                out, size = [], 0
+    yield _log_rows(out)
+
+
+def _log_rows(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string())
+    columns = list(zip(*rows, strict=True)) or [[]] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["conv_id", "msg_id", "seq", "op", "turn", "role", "text"])
 
 
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     says = "<|im_end|><|im_start|>assistant ok"
     tricky = spark.createDataFrame([(-1, 0, "user", says), (-1, 1, "assistant", says)], MESSAGES)
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(tricky)
-    return digest(render(reconstruct(as_log(rows))))
+    return digest(render(reconstruct(as_log(rows))), dealt=True)
 
 
 OP3_SQL = r"""

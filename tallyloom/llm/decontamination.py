@@ -8,7 +8,7 @@ find every such window with up to four replaced words of 20, or three of 15; for
 5, 6, 7, 10, 11 and 12 words, there are masks as long as the item (tests try all placements, for every length).
 
 Items are taken in blocks of at most BLOCK_WORDS words, and each block is read against all texts, so what an executor holds
-is bounded whatever the size of the benchmark; nothing is shuffled. Items with fewer than LEAST_WORDS words say too little and are
+is bounded whatever the size of the benchmark; nothing is shuffled, but each further block is one more pass over the texts. Items with fewer than LEAST_WORDS words say too little and are
 not searched. A text shorter than the window (min(WINDOW, words of the item)) holds none and matches nothing, also if it is an excerpt of the item. Null or empty texts match nothing.
 Rows with the same doc_id or item_id are judged each for itself and give one result row a pair, the best.
 """
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import table, text_slices, words_of
+from tallyloom.llm.common import table, text_slices, words_of, written
 from tallyloom.llm.wordhash import Words, find_words, mix
 
 MASKS = ("111101", "110111")
@@ -195,10 +195,10 @@ def _reporter(shared):
 
 
 def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of docs, all columns, whose text overlaps with no item."""
+    """The rows of docs, all columns, whose text overlaps with no item. What one block leaves is written before the next one's turn, so no task holds two."""
     out = docs
-    for block in blocks_of(items):
-        out = out.mapInArrow(_sieve(docs.sparkSession.sparkContext.broadcast(block)), docs.schema)
+    for k, block in enumerate(blocks_of(items)):
+        out = (written(out, "unleaked") if k else out).mapInArrow(_sieve(docs.sparkSession.sparkContext.broadcast(block)), docs.schema)
     return out
 
 

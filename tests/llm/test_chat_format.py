@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import defaultdict
 
 import pytest
@@ -89,3 +90,49 @@ def test_long_repeated_and_extra_columns(spark):
 def test_query_against_sql(spark, sf_dir):
     path = sf_dir.replace("sf0.001", "sf0.01")
     assert_same(C.op3_chat_formatting(spark, path), path, C.OP3_SQL)
+
+
+def plain_fold(rows):
+    """Events applied forwards, one after another, to all messages of a conversation."""
+    out = {}
+    for conv in {r[0] for r in rows}:
+        live, known = {}, {}
+        for _, msg, _, op, turn, role, text in sorted((r for r in rows if r[0] == conv), key=lambda r: (r[2], r[1], r[3], r[6])):
+            if op in ("message", "open"):
+                known[msg], live[msg] = (turn, role), text if op == "message" else ""
+            elif op in ("delta", "edit", "regenerate"):
+                known.setdefault(msg, (turn, role))
+                live[msg] = live.get(msg, "") + text if op == "delta" else text if op == "edit" else ""
+            elif op == "delete":
+                live.pop(msg, None)
+            if op == "regenerate":
+                for m in [m for m, (at, _) in known.items() if at > turn]:
+                    live.pop(m, None)
+                    known.pop(m)
+        out[conv] = sorted((*known[m], t) for m, t in live.items())
+    return out
+
+
+def test_fold_against_plain_order(spark):
+    """Random logs: each message has one role and turn, whatever event comes first; a regeneration cuts later turns."""
+    rng = random.Random(1)
+    ops = ["message", "open", "delta", "delta", "delta", "edit", "regenerate", "delete", "unknown"]
+    rows = []
+    for conv in range(60):
+        for seq in range(rng.randrange(1, 30)):
+            msg = rng.randrange(6)
+            rows.append((conv, msg, seq, rng.choice(ops), msg // 2, "assistant" if msg % 2 else "user", f"{rng.randrange(100)} "))
+    texts = {"open", "regenerate", "delete"}
+    rows = [(*r[:6], "" if r[3] in texts else r[6]) for r in rows]
+    got = {conv: [] for conv in {r[0] for r in rows}}
+    for conv, *rest in messages(spark, rows):
+        got[conv].append(tuple(rest))
+    assert {k: sorted(v) for k, v in got.items()} == plain_fold(rows) and any(len(v) > 2 for v in got.values())
+
+
+def test_query_log_holds_all_kinds_of_events(spark):
+    df = spark.createDataFrame([(1, 0, "user", "hi"), (1, 1, "assistant", "x" * 3000), (1, 2, "user", None), (None, None, "assistant", "y")], C.MESSAGES)
+    log = C.as_log(df)
+    assert {r.op for r in log.collect()} == {"open", "delta", "regenerate", "message", "edit", "delete"}
+    got = sorted(((r.conv_id, r.turn, r.role, r.text) for r in C.reconstruct(log).collect()), key=str)
+    assert got == sorted([(1, 0, "user", "hi"), (1, 1, "assistant", "x" * 3000), (1, 2, "user", ""), (None, None, "assistant", "y")], key=str)
