@@ -3,12 +3,13 @@
 Everything runs in DataFrame expressions; the driver sees only counts by feature and bin. Each rule is a conjunction of thresholds. It is grown
 on two thirds of the labelled documents (by a hash of doc_id) by adding the threshold with the highest gain in information,
 then pruned on the other third by taking off last conditions while (bad - good) / (bad + good) does not fall. A rule whose precision on
-either part is under PRECISION ends the search; otherwise the documents that it covers go and the next rule is grown. Thresholds
-are the bounds of BINS equal shares of the labelled documents, by feature.
+either part is under what is asked ends the search; otherwise the documents that it covers go and the next rule is grown. Thresholds
+are the bounds of equal shares of the labelled documents, by feature. Settings holds what the learner can be told.
 
 A null or empty text has no words and zero counts, and fails the base rules. Without labels, or with one class only, the list is
 empty and the base rules decide. Labels of unknown documents and null labels count for nothing; of repeated labels of a document
-the smallest counts. Repeated rows are judged each for itself.
+the smallest counts. Of equally good thresholds the first by feature and bound is taken. Repeated rows are judged each for itself, a text of any length as a whole;
+columns of other names are left out.
 """
 
 from __future__ import annotations
@@ -24,9 +25,22 @@ from tallyloom.llm.common import WHITE, checkpointed, let, table, words_of
 
 SYMBOLS = "#*$%&|<>"
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-#: What thresholds stand on: whole numbers, so that rules read plainly.
-FEATURES = ["n_words", "chars_per_100_words", "symbols_per_100_words", "dup_lines", "repeat_words_per_100", "same_next_per_100_words"]
-BINS, MAX_RULES, MAX_CONDITIONS, PRECISION, LEAST_COVER = 32, 8, 3, 0.9, 5
+#: What thresholds stand on: whole numbers, so that rules read plainly; shares are in 10,000.
+FEATURES = ["n_words", "chars_per_1000_words", "symbols_per_10k_chars", "dup_lines", "dup_lines_per_10k", "repeat_words_per_10k", "same_next_per_10k", "distinct_words_per_10k", "letters_per_10k_chars", "digits_per_10k_chars"]
+MAX_CONDITIONS = 3
+
+
+@dataclass(frozen=True)
+class Settings:
+    """bins: equal shares whose bounds are tried as thresholds; max_rules and max_conditions: the size of the list and of a rule; precision: the least share of
+    bad documents among those that a rule covers; least_cover: the least number of bad documents that a condition has to cover while a rule is grown.
+    """
+
+    bins: int = 64
+    max_rules: int = 8
+    max_conditions: int = MAX_CONDITIONS
+    precision: float = 0.9
+    least_cover: int = 5
 
 
 @dataclass(frozen=True)
@@ -93,30 +107,34 @@ def statistics(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     bare = lambda x, drop: F.length(F.translate(x, drop, ""))
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
-    by_words = let(words_of(text), lambda w: F.struct(F.size(w).alias("n_words"), _repeated(w).alias("n_repeat_words"), _same_next(w).alias("n_same_next")))
-    by_lines = let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
-    base = docs.select(
-        "doc_id", by_words.alias("w"), bare(text, WHITE).cast("bigint").alias("word_chars"), (F.length(text) - bare(text, SYMBOLS)).cast("bigint").alias("n_symbols"), by_lines.cast("bigint").alias("n_dup_lines"),
-    ).select("doc_id", F.col("w.n_words").cast("bigint").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", F.col("w.n_repeat_words").cast("bigint").alias("n_repeat_words"), F.col("w.n_same_next").cast("bigint").alias("n_same_next"))
-    share = lambda c: F.floor(100 * F.col(c) / F.greatest(F.col("n_words"), F.lit(1)))
+    by_words = let(words_of(text), lambda w: F.struct(F.size(w).alias("n_words"), _repeated(w).alias("n_repeat_words"), _same_next(w).alias("n_same_next"), F.size(F.array_distinct(w)).alias("n_distinct")))
+    by_lines = let(lines, lambda x: F.struct(F.size(x).alias("n_lines"), (F.size(x) - F.size(F.array_distinct(x))).alias("n_dup_lines")))
+    counted = docs.select(
+        "doc_id", by_words.alias("w"), by_lines.alias("x"), bare(text, WHITE).alias("word_chars"), (F.length(text) - bare(text, SYMBOLS)).alias("n_symbols"),
+        F.length(F.regexp_replace(text, r"[^\p{L}]+", "")).alias("n_letters"), (F.length(text) - bare(text, "0123456789")).alias("n_digits"),
+    )
+    numbers = ["w.n_words", "word_chars", "n_symbols", "x.n_dup_lines", "w.n_repeat_words", "w.n_same_next", "w.n_distinct", "x.n_lines", "n_letters", "n_digits"]
+    base = counted.select("doc_id", *(F.col(c).cast("bigint").alias(c.split(".")[-1]) for c in numbers))
+    share = lambda c, of, scale=10_000: F.floor(scale * F.col(c) / F.greatest(F.col(of), F.lit(1)))
     return base.withColumns({
-        "chars_per_100_words": share("word_chars"), "symbols_per_100_words": share("n_symbols"), "dup_lines": F.col("n_dup_lines"),
-        "repeat_words_per_100": share("n_repeat_words"), "same_next_per_100_words": share("n_same_next"),
+        "chars_per_1000_words": share("word_chars", "n_words", 1000), "symbols_per_10k_chars": share("n_symbols", "word_chars"), "dup_lines": F.col("n_dup_lines"), "dup_lines_per_10k": share("n_dup_lines", "n_lines"),
+        "repeat_words_per_10k": share("n_repeat_words", "n_words"), "same_next_per_10k": share("n_same_next", "n_words"), "distinct_words_per_10k": share("n_distinct", "n_words"),
+        "letters_per_10k_chars": share("n_letters", "word_chars"), "digits_per_10k_chars": share("n_digits", "word_chars"),
         "base_failed": (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")),
     })
 
 
-def learn(stats: DataFrame, labels: DataFrame) -> list[Rule]:
+def learn(stats: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> list[Rule]:
     """The decision list for documents that pass the base rules; labels has doc_id and quality (0 is bad)."""
     told = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("bigint").alias("_id")).agg(F.min("quality").alias("_quality"))
     joined = stats.filter("NOT base_failed").join(told, stats["doc_id"].cast("bigint") == told["_id"])
     rows = checkpointed(joined.select(*FEATURES, (F.col("_quality") == 0).cast("int").alias("bad"), (F.pmod(F.xxhash64("doc_id"), F.lit(3)) > 0).alias("grow")))
-    bounds = rows.agg(*(F.percentile_approx(f, [i / BINS for i in range(BINS)], 10_000).alias(f) for f in FEATURES)).first()
+    bounds = rows.agg(*(F.percentile_approx(f, [i / settings.bins for i in range(settings.bins)], 10_000).alias(f) for f in FEATURES)).first()
     steps = {f: sorted(set(bounds[f] or [])) for f in FEATURES}
     rules: list[Rule] = []
     left = rows
-    while len(rules) < MAX_RULES:
-        rule = _prune(left, _grow(left.filter("grow"), steps))
+    while len(rules) < settings.max_rules:
+        rule = _prune(left, _grow(left.filter("grow"), steps, settings), settings)
         if not rule:
             break
         rules.append(rule)
@@ -129,13 +147,13 @@ def _totals(rows: DataFrame) -> tuple[int, int]:
     return r[0], r[1] - r[0]
 
 
-def _grow(rows: DataFrame, steps: dict[str, list[int]]) -> Rule:
+def _grow(rows: DataFrame, steps: dict[str, list[int]], settings: Settings) -> Rule:
     rule: Rule = ()
     bad, good = _totals(rows)
-    while bad and good and len(rule) < MAX_CONDITIONS:
+    while bad and good and len(rule) < settings.max_conditions:
         best = None
         for condition, p, n in _candidates(rows, steps, bad, good):
-            if p >= LEAST_COVER:
+            if p >= settings.least_cover:
                 gain = p * (math.log2(p / (p + n)) - math.log2(bad / (bad + good)))
                 if best is None or gain > best[0] + 1e-9:
                     best = (gain, condition, p, n)
@@ -163,7 +181,7 @@ def _candidates(rows: DataFrame, steps: dict[str, list[int]], bad: int, good: in
     return out
 
 
-def _prune(rows: DataFrame, rule: Rule) -> Rule:
+def _prune(rows: DataFrame, rule: Rule, settings: Settings) -> Rule:
     """The best beginning of the rule on the pruning rows, or nothing if it isn't precise enough."""
     if not rule:
         return ()
@@ -172,9 +190,9 @@ def _prune(rows: DataFrame, rule: Rule) -> Rule:
     got = rows.agg(*(s.alias(f"s{i}") for i, s in enumerate(sums))).first()
     seen = [(c, *got[4 * i : 4 * i + 4]) for i, c in enumerate(cuts)]
     worth = lambda x: (2 * x[1] - x[2]) / x[2] if x[2] else -1.0
-    best = max(reversed(seen), key=worth)
+    best = max(seen, key=worth)  # of equals the shortest
     cut, bad, n, grown_bad, grown = best
-    precise = n > 0 and bad >= PRECISION * n and grown_bad >= PRECISION * grown
+    precise = n > 0 and bad >= settings.precision * n and grown_bad >= settings.precision * grown
     return cut if precise else ()
 
 

@@ -1,3 +1,4 @@
+import math
 import random
 import re
 from collections import Counter
@@ -87,3 +88,55 @@ def test_query_held_out_and_empty(spark, sf_dir):
     bad = [not got[r.doc_id].kept for r in labels if r.quality == 0]
     assert sum(good) / len(good) > 0.98 and sum(bad) / len(bad) > 0.9
     assert Q.statistics(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
+
+
+def planted(spark, rng, bad_of, n=3000):
+    """Statistics of invented documents; bad_of says from the features which are bad."""
+    rows, labels = [], []
+    for i in range(n):
+        f = {x: rng.randrange(1000) for x in Q.FEATURES}
+        rows.append((i, *f.values(), False))
+        labels.append((i, int(not bad_of(f)), 0))
+    stats = spark.createDataFrame(rows, "doc_id bigint, " + ", ".join(f"{x} bigint" for x in Q.FEATURES) + ", base_failed boolean")
+    return stats, labels
+
+
+def test_learns_two_planted_conjunctions(spark):
+    def bad_of(f):
+        return (f["symbols_per_10k_chars"] > 700 and f["letters_per_10k_chars"] <= 400) or (f["digits_per_10k_chars"] > 800 and f["distinct_words_per_10k"] <= 300)
+
+    stats, labels = planted(spark, random.Random(8), bad_of)
+    rules = Q.learn(stats, spark.createDataFrame(labels, LABELS))
+    told = [{(c.feature, c.above) for c in r} for r in rules]
+    assert {("symbols_per_10k_chars", True), ("letters_per_10k_chars", False)} in told and {("digits_per_10k_chars", True), ("distinct_words_per_10k", False)} in told
+    for c in rules[0] + rules[1]:
+        assert min(abs(c.bound - x) for x in (700, 400, 800, 300)) < 25
+    kept = {r.doc_id: r.kept for r in Q.judge(stats, rules).collect()}
+    assert sum(kept[i] == bool(q) for i, q, _ in labels) / len(labels) > 0.97
+
+
+def test_best_first_threshold_against_all(spark):
+    """The first condition grown has the highest gain of all that plain Python tries."""
+    rng = random.Random(3)
+    stats, labels = planted(spark, rng, lambda f: f["n_words"] <= 200 and rng.random() < 0.9, 600)
+    rows = stats.join(spark.createDataFrame(labels, LABELS), "doc_id").select(*Q.FEATURES, (1 - Q.F.col("quality")).alias("bad"))
+    steps = {f: list(range(0, 1000, 50)) for f in Q.FEATURES}
+    got = Q._grow(rows, steps, Q.Settings(max_conditions=1))
+    data = [r.asDict() for r in rows.collect()]
+    bad, total = sum(r["bad"] for r in data), len(data)
+
+    def gain(c):
+        hit = [r["bad"] for r in data if (r[c.feature] > c.bound) == c.above]
+        return sum(hit) * (math.log2(sum(hit) / len(hit)) - math.log2(bad / total)) if sum(hit) >= 5 else 0
+
+    best = max(gain(Q.Condition(f, above, x)) for f in Q.FEATURES for x in steps[f] for above in (True, False))
+    assert len(got) == 1 and abs(gain(got[0]) - best) < 1e-6
+
+
+def test_pruning_takes_off_what_does_not_help(spark):
+    rows = [(*[i % 100] * len(Q.FEATURES), int(i % 100 > 50), i % 3 > 0) for i in range(600)]
+    df = spark.createDataFrame(rows, ", ".join(f"{x} bigint" for x in Q.FEATURES) + ", bad int, grow boolean")
+    good, useless = Q.Condition("n_words", True, 50), Q.Condition("dup_lines", True, 10)
+    assert Q._prune(df, (good, useless), Q.Settings()) == (good,)
+    assert Q._prune(df, (Q.Condition("n_words", True, 20), good), Q.Settings()) == (Q.Condition("n_words", True, 20), good)
+    assert Q._prune(df, (Q.Condition("n_words", True, 20),), Q.Settings()) == ()  # not precise enough
