@@ -9,14 +9,16 @@ and only if at least b * SCORE / (2 - SCORE) of them are the template's. Those b
 once; the few places that pass are scored exactly. A best stretch begins and ends with a common bigram, so only those are tried.
 
 Licences share words, so of all stretches that score enough the best is taken first, then the best that overlaps with none taken, and so on; a licence named inside another's notice is
-found where it also stands apart from it. Each text gives one row for each licence found, for the best of its stretches taken (of equals the longest template's, and its first). Null, empty and one-word texts have no
-bigram and give none. Rows with the same doc_id give rows each for itself.
+found where it also stands apart from it. Templates are notices, SPDX lines, and whole texts: whole short licences, and of long ones what their notices say. The version is the first number in a stretch
+that is written as it is, or null (a template stands for all versions, since digits count as 0). Each text gives one row for each licence found, for the best of its stretches taken (of equals the longest template's, and its first). Null, empty and one-word texts have no
+bigram and give none. Rows with the same doc_id give rows each for itself, a text of any length is scanned as a whole, columns of other names are left out.
 """
 
 from __future__ import annotations
 
 import bisect
 import heapq
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -56,19 +58,70 @@ WHOLE = {
     "MIT": [
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, "
         "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
-        "subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
+        "subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, "
+        "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
+        "subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. "
+        "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, "
+        "OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ],
+    "ISC": [
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. "
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. "
+        "IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
+        "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    ],
+    "BSD": [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+        "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, "
+        "THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
+    ],
+    "Apache": [
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION",
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 "
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. "
+        "See the License for the specific language governing permissions and limitations under the License.",
     ],
-    "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
-    "BSD": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"],
     "GPL": [
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, "
-        "either version 3 of the License, or (at your option) any later version."
+        "either version 3 of the License, or (at your option) any later version.",
+        "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed.",
+    ],
+    "LGPL": [
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; "
+        "either version 2.1 of the License, or (at your option) any later version.",
+    ],
+    "AGPL": [
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version.",
     ],
+    "MPL": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, "
+        "either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ],
+    "Zlib": [
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. "
+        "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    ],
+    "BSL": ["Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at https://www.boost.org/LICENSE_1_0.txt)"],
+}
+# SPDX identifiers by licence.
+SPDX = {
+    "MIT": ["MIT"], "Apache": ["Apache-2.0"], "GPL": ["GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "GPL-2.0", "GPL-3.0"], "LGPL": ["LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later"],
+    "AGPL": ["AGPL-3.0-only", "AGPL-3.0-or-later"], "MPL": ["MPL-2.0"], "BSD": ["BSD-2-Clause", "BSD-3-Clause"], "ISC": ["ISC"], "EPL": ["EPL-2.0"], "CC0": ["CC0-1.0"], "CC-BY": ["CC-BY-4.0"], "CC-BY-SA": ["CC-BY-SA-4.0"],
+    "CC-BY-NC": ["CC-BY-NC-4.0"], "Unlicense": ["Unlicense"], "Zlib": ["Zlib"], "BSL": ["BSL-1.0"],
 }
 
 
 def default_templates() -> list[tuple[str, str]]:
-    return [(k, b.format(n)) for k, names in NAMES.items() for n in names for b in BEGINNINGS] + [(k, t) for k, texts in WHOLE.items() for t in texts]
+    return [(k, b.format(n)) for k, names in NAMES.items() for n in names for b in BEGINNINGS] + [(k, t) for k, texts in WHOLE.items() for t in texts] + [(k, f"SPDX-License-Identifier: {x}") for k, ids in SPDX.items() for x in ids]
 
 
 @dataclass
@@ -215,20 +268,34 @@ def dense_spots(texts: pa.Array, templates: Templates, score: float) -> Iterator
             yield int(t), name, size, most, hashes[likely[mine]], begin[likely[mine]] - int(words.first[t])
 
 
+_MARKS = re.compile(r"[!-/:-@\[-`{-~]")
+_NUMBER = re.compile(r"[0-9]+(?:\.[0-9]+)*")
+
+
+def version_in(text: str, first: int, n: int) -> str | None:
+    """The first number in the n words from word first on, words being counted as for bigrams."""
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if _MARKS.sub("", w)]
+    got = _NUMBER.search(" ".join(words[first : first + n]))
+    return got.group() if got else None
+
+
 def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, score: float = SCORE) -> DataFrame:
-    """doc_id, license_id, dice, first_word and n_words of each licence found in each row of docs (doc_id, text)."""
+    """doc_id, license_id, version, dice, first_word and n_words of each licence found in each row of docs (doc_id, text)."""
     ready = prepare(default_templates() if templates is None else templates)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
             rows = scan_texts(batch.column("text"), ready, score)
             t, name, dice, at, n = zip(*rows, strict=True) if rows else ([],) * 5
+            said = batch.column("text").take(pa.array(t, pa.int64())).to_pylist()
+            version = [version_in(*x) for x in zip(said, at, n, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(t, pa.int64())), pa.array(name, pa.string()), pa.array(dice, pa.float64()), pa.array(at, pa.int64()), pa.array(n, pa.int64())], ["doc_id", "license_id", "dice", "first_word", "n_words"]
+                [batch.column("doc_id").take(pa.array(t, pa.int64())), pa.array(name, pa.string()), pa.array(version, pa.string()), pa.array(dice, pa.float64()), pa.array(at, pa.int64()), pa.array(n, pa.int64())],
+                ["doc_id", "license_id", "version", "dice", "first_word", "n_words"],
             )
 
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, license_id string, dice double, first_word bigint, n_words bigint")
+    return rows.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, license_id string, version string, dice double, first_word bigint, n_words bigint")
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -114,3 +114,47 @@ def test_query_against_lines(spark, sf_dir):
     told = {"General Public License, version": "GPL", "under CC BY-NC": "CC-BY-NC", "under the MIT License": "MIT", "under the Apache License": "Apache", "All rights reserved": "All-rights-reserved"}
     want = {(r.doc_id, name) for r in spark.read.parquet(f"{path}/documents.parquet").collect() for line, name in told.items() if line in r.text}
     assert want and want == got
+
+
+def test_whole_licences_spdx_lines_and_versions(spark):
+    rows = [(i, f"Copyright (c) 2020 Some One\n\n{t}\n\nmore words") for i, t in enumerate(t for texts in L.WHOLE.values() for t in texts)]
+    got = {(r.doc_id, r.license_id): r for r in L.scan(spark.createDataFrame(rows, DOCS)).collect()}
+    for i, name in enumerate(name for name, texts in L.WHOLE.items() for _ in texts):
+        assert got[i, name].dice > 0.9  # repeated bigrams count once in the template and each time in the stretch
+    rows = [
+        (1, "x = 1  # SPDX-License-Identifier: Apache-2.0"), (2, "// SPDX-License-Identifier: GPL-2.0-only"), (3, "Licensed under the GNU General Public License, version 2. Then 7 more"),
+        (4, "Licensed under the GNU General Public License, version 3, it says"), (5, "Released under the MIT License"), (6, "the SPDX-License-Identifier is missing"),
+    ]
+    got = [(r.doc_id, r.license_id, r.version) for r in L.scan(spark.createDataFrame(rows, DOCS)).orderBy("doc_id").collect()]
+    assert got == [(1, "Apache", "2.0"), (2, "GPL", "2.0"), (3, "GPL", "2"), (4, "GPL", "3"), (5, "MIT", None)]
+
+
+def test_query_against_dice_of_all_stretches(spark, sf_dir):
+    """Every tenth document and its licences by trying all stretches of all templates, the longest ones as far as size bounds let them score."""
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").collect()]
+    got = {}
+    for r in L.op4_license_scan(spark, sf_dir).collect():
+        got.setdefault(r.doc_id, {})[r.license_id] = r.dice
+    templates = {}
+    for name, t in L.default_templates():
+        templates.setdefault((name, frozenset(bigrams(t))), t)
+    tried = 0
+    for doc, text in rows:
+        if doc % 4 and doc not in got:
+            continue
+        grams, best = bigrams(text), {}
+        for name, own in templates:
+            at = [i for i, g in enumerate(grams) if g in own]
+            for k, i in enumerate(at):
+                common = set()
+                for j in at[k:]:
+                    if j - i + 1 > 1.5 * len(own) + 1e-9:
+                        break
+                    common.add(grams[j])
+                    best[name] = max(best.get(name, 0), 2 * len(common) / (len(own) + j - i + 1))
+        tried += 1
+        want = {name: d for name, d in best.items() if d >= L.SCORE - 1e-9}
+        assert set(got.get(doc, {})) <= set(want) and bool(want) == bool(got.get(doc))
+        if want:
+            assert abs(max(got[doc].values()) - max(want.values())) < 1e-9
+    assert tried >= 50
