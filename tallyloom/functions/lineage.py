@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the shared folder that the session names in spark.checkpoint.dir (a temporary one if it names none)."""
+    """df, computed once and kept in the shared folder that the session names in spark.checkpoint.dir; if it names none, in the warehouse, or in a temporary folder where all runs on this machine."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="tallyloom-checkpoint-"))
+        if not named and sc.master.startswith("local"):
+            named = tempfile.mkdtemp(prefix="tallyloom-checkpoint-")
+        sc.setCheckpointDir(named or f"{df.sparkSession.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tallyloom-checkpoint")
     return df.checkpoint()

@@ -7,6 +7,7 @@ import logging
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,23 +61,29 @@ def consolidate(matched: DataFrame, config: RunConfig = RunConfig(), companies:
 
 
 def run(inputs: Inputs, config: RunConfig = RunConfig()) -> dict[str, DataFrame]:
-    """Every result table by name. Matches and marks are computed, and kept in the checkpoint folder; the tables over them aren't yet. A part of enrichment that fails to plan is logged and left out."""
+    """Every result table by name. Matches and marks are computed, and kept in the checkpoint folder; the tables over them aren't yet.
+
+    A part of enrichment that can't be planned over its inputs doesn't end the run; the table left_out names it and why, so that no incomplete result looks whole.
+    """
     spark, prefix = inputs.awards.sparkSession, config.match.output_prefix
     ref = f"{prefix}_reference_name"
     aliases = reference.alias_table(spark, inputs.aliases)
     references = reference.reference_list(inputs.companies, aliases, config.match)
     matched = matching.match_awards(inputs.awards, references, aliases, config.match)
-    logged = settled(matching.match_log(matched, prefix))
+    enriched = settled(matched.filter(F.col(f"{prefix}_flag")))
+    logged = matching.match_log(enriched, prefix)
     names = enrichment.company_names(inputs.companies, inputs.aliases)
     companies, topics = phrase_pattern(names), phrase_pattern(config.keywords.topics)
-    out = {"enriched": matched.filter(F.col(f"{prefix}_flag")), "match_log": logged}
+    out = {"enriched": enriched, "match_log": logged}
     parts: dict[str, DataFrame] = {}
+    left_out: list[tuple[str, str]] = []
 
     def attempt(name: str, of: Callable[[], None]) -> None:
         try:
             of()
-        except Exception:  # one part must not end a run
+        except (AnalysisException, AttributeError, ValueError) as e:  # an input without the columns of its part
             log.exception("%s is left out", name)
+            left_out.append((name, str(e).splitlines()[0]))
 
     payments = inputs.awards.filter(F.col("source") == "FTS")
 
@@ -96,6 +103,7 @@ def run(inputs: Inputs, config: RunConfig = RunConfig()) -> dict[str, DataFrame]
         rest = enrichment.unmatched(payments, logged)
         out["fts_entity_candidates"] = found = enrichment.entity_candidates(rest, companies, config.keywords)
         out.update(fts_keyword_matches=enrichment.keyword_hits(rest, config.keywords), fts_recommended_aliases=enrichment.recommended_aliases(found), fts_highvalue_unmatched=enrichment.largest(rest))
+        out.update(fts_company_statistics=enrichment.company_statistics(found), fts_totals=enrichment.scan_totals(payments, logged))
 
     def forensics() -> None:
         rest = enrichment.unmatched(inputs.awards, logged)
@@ -104,6 +112,7 @@ def run(inputs: Inputs, config: RunConfig = RunConfig()) -> dict[str, DataFrame]
 
     def case_tables() -> None:
         out.update(case_projects=cases.interest_projects(inputs.cases), case_expenditures=cases.expenditures(inputs.cases), case_documents=cases.document_links(inputs.cases), case_metadata=cases.case_metadata(inputs.cases))
+        out.update(case_links=cases.linked_cases(inputs.cases), case_codes_unresolved=cases.unresolved(cases.with_case_code(logged).select("sa_code"), inputs.cases))
 
     for name, of, needed in (
         ("bridge", bridge, inputs.participants), ("allowances", allowances, inputs.compliance), ("projects", projects, inputs.projects), ("mining", mining, True), ("forensics", forensics, True), ("cases", case_tables, inputs.cases),
@@ -112,7 +121,10 @@ def run(inputs: Inputs, config: RunConfig = RunConfig()) -> dict[str, DataFrame]
             attempt(name, of)
 
     pattern = phrase_pattern(names, 4, K.PHRASE_BLOCKLIST)
-    joined = consolidation.integrate(logged, pattern, parts.get("bridge"), inputs.promoters, parts.get("projects"), prefix)["combined"]
+    integrated = consolidation.integrate(logged, pattern, parts.get("bridge"), inputs.promoters, parts.get("projects"), prefix)
+    joined = integrated["combined"]
+    out |= {f"integrated_{name}": rows for name, rows in integrated.items() if name != "combined"}
+    out["left_out"] = spark.createDataFrame(left_out, "part string, reason string")
     by_case = evidence.case_evidence(inputs.case_documents) if inputs.case_documents is not None else None
     rows = settled(consolidate(settled(joined), config, inputs.companies, by_case))
     kept = rows.filter("dc_preferred")
@@ -124,9 +136,23 @@ def run(inputs: Inputs, config: RunConfig = RunConfig()) -> dict[str, DataFrame]
     return out
 
 
+def run_documents(results: dict[str, DataFrame], config: RunConfig = RunConfig()) -> dict[str, dict | str]:
+    """The small documents of a run by file name: measures of concentration, what enrichment added, and the summary of matches."""
+    prefix = config.match.output_prefix
+    kept = results["consolidated_matches"].filter("dc_preferred")
+    measures = {"entities": tables.concentration_metrics(kept, f"{prefix}_reference_name")}
+    if "parent_group" in kept.columns:
+        measures["groups"] = tables.concentration_metrics(kept, "parent_group")
+    parts = {name.removeprefix("integrated_"): df for name, df in results.items() if name.startswith("integrated_")}
+    stats = consolidation.integration_stats(parts, results.get("ets_matched_companies"))
+    summary = writers.summary_text("Matches", matching.match_summary(results["enriched"], prefix))
+    return {"concentration_metrics.json": measures, "enrichment_stats.json": stats, "match_summary.txt": summary}
+
+
 def main(args: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--awards", required=True)
+    parser.add_argument("--one-line-records", action="store_true", help="no field of the register's CSV holds a line end, so that the file can be split among tasks")
     parser.add_argument("--company-list", required=True)
     parser.add_argument("--aliases")
     parser.add_argument("--config")
@@ -136,6 +162,7 @@ def main(args: list[str] | None = None) -> None:
     parser.add_argument("--projects-overview")
     parser.add_argument("--cases", help="JSON document of state-aid cases")
     parser.add_argument("--case-documents", help="table of case documents with their text")
+    parser.add_argument("--promoters", help="table of programme promoters")
     parser.add_argument("--skip-pdf-enrichment", action="store_true")
     parser.add_argument("--output-dir", required=True)
     a = parser.parse_args(args)
@@ -146,13 +173,18 @@ def main(args: list[str] | None = None) -> None:
     installations, compliance = readers.read_allowances(spark, a.allowances) if a.allowances else (None, None)
     documents = None if a.skip_pdf_enrichment else table(a.case_documents)
     inputs = Inputs(
-        readers.read_awards(spark, a.awards), companies, read_aliases(a.aliases) if a.aliases else [], readers.read_participants(spark, a.participants) if a.participants else None, installations, compliance,
-        table(a.projects), table(a.projects_overview), None, cases.read_cases(spark, a.cases) if a.cases else None, documents,
+        readers.read_awards(spark, a.awards, not a.one_line_records), companies, read_aliases(a.aliases) if a.aliases else [], readers.read_participants(spark, a.participants) if a.participants else None, installations, compliance,
+        table(a.projects), table(a.projects_overview), table(a.promoters), cases.read_cases(spark, a.cases) if a.cases else None, documents,
     )
     results = run(inputs, config)
     writers.write_parquet(results["match_log"], f"{a.output_dir}/match_log.parquet")
     writers.write_tables({k: v for k, v in results.items() if k != "match_log"}, a.output_dir)
+    for name, what in run_documents(results, config).items():
+        writers.write_document(spark, what, f"{a.output_dir}/{name}")
     print(writers.summary_text("Summary", {k: results[k] for k in ("headline", "T1_by_source", "T6_top_entities")}))
+    missing = [r.part for r in results["left_out"].collect()]
+    if missing:
+        raise SystemExit(f"left out: {', '.join(missing)}")
 
 
 if __name__ == "__main__":

@@ -22,21 +22,24 @@ def resolve(spark: SparkSession, path: str) -> str:
     return found
 
 
-def read_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, columns: list[str] | None = None, multi_line: bool = True) -> DataFrame:
     """A Parquet or CSV table, in the columns that it has of those asked for; CSV values stay text."""
-    df = spark.read.parquet(path) if path.rstrip("/").endswith(".parquet") else read_csv(spark, path)
+    df = spark.read.parquet(path) if path.rstrip("/").endswith(".parquet") else read_csv(spark, path, multi_line)
     return df if columns is None else df.select(*(c for c in columns if c in df.columns))
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV with a header, quoted fields over several lines, doubled quotes, and any byte-order mark taken off."""
-    df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """A CSV with a header, doubled quotes, and any byte-order mark taken off.
+
+    multi_line: quoted fields may hold line ends, for which a file is read by one task. Without it a file is split among tasks, line by line.
+    """
+    df = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').csv(path)
     return df.withColumnsRenamed({c: c.lstrip("﻿").strip() for c in df.columns})
 
 
-def read_awards(spark: SparkSession, path: str) -> DataFrame:
-    """The register, in the columns that matching uses; amounts as numbers, with not-a-number as null."""
-    df = read_table(spark, resolve(spark, path), K.AWARD_COLUMNS)
+def read_awards(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """The register, in the columns that matching uses; amounts as numbers, with not-a-number as null. multi_line=False splits a CSV that has no line ends within fields."""
+    df = read_table(spark, resolve(spark, path), K.AWARD_COLUMNS, multi_line)
     money = {c: F.when(~F.isnan(F.col(c).try_cast("double")), F.col(c).try_cast("double")) for c in ("amount_eur", "amount_gge_eur") if c in df.columns}
     return df.withColumns(money) if money else df
 

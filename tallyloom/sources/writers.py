@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import json
-import os
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -30,11 +29,15 @@ def write_tables(tables: dict[str, DataFrame], folder: str) -> None:
         write_csv(df, f"{folder}/{name}.csv")
 
 
-def write_document(value: dict, path: str) -> None:
-    """A small document on the driver."""
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump(value, f, ensure_ascii=False, indent=2, default=str)
+def write_document(spark: SparkSession, value: dict | str, path: str) -> None:
+    """A small document of the driver's, as JSON or text, to any place that Spark can write to."""
+    text = value if isinstance(value, str) else json.dumps(value, ensure_ascii=False, indent=2, default=str)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(place, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
 
 
 def summary_text(title: str, tables: dict[str, DataFrame]) -> str:

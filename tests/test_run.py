@@ -69,6 +69,15 @@ def test_command_line(spark, folder, tmp_path, capsys):
     back = readers.read_csv(spark, str(tmp_path / "out" / "T1_by_source.csv"))
     assert back.columns == ["source", "total_eur", "rows", "entities"] and back.count() >= 2
     assert spark.read.parquet(str(tmp_path / "out" / "match_log.parquet")).count() >= 4
+    measures = json.loads((tmp_path / "out" / "concentration_metrics.json").read_text())
+    assert measures["entities"]["count"] >= 2 and set(measures) == {"entities", "groups"}
+    assert "by_source" in (tmp_path / "out" / "match_summary.txt").read_text() and json.loads((tmp_path / "out" / "enrichment_stats.json").read_text())
+
+
+def test_one_line_records_are_split(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("a,b\n" + "".join(f'{i},"x ""{i}"", y"\n' for i in range(50)), encoding="utf-8")
+    got = readers.read_csv(spark, str(tmp_path / "r.csv"), multi_line=False)
+    assert sorted(tuple(r) for r in got.collect()) == sorted((str(i), f'x "{i}", y') for i in range(50))
 
 
 def test_a_broken_part_is_left_out(spark, folder):
@@ -76,6 +85,7 @@ def test_a_broken_part_is_left_out(spark, folder):
     bad.participants = spark.createDataFrame([(1,)], "x int")
     out = R.run(bad, RunConfig(match=MatchConfig(), keywords=Keywords()))
     assert "fts_via_cordis" not in out and "T1_by_source" in out
+    assert [r.part for r in out["left_out"].collect()] == ["bridge"]
 
 
 def test_lists_are_checked_first(spark, tmp_path):
@@ -92,7 +102,7 @@ def test_sinks(spark, tmp_path):
     writers.write_csv(df, str(tmp_path / "t.csv"))
     got = {r.i: (r.l, r.m, r.t) for r in readers.read_csv(spark, str(tmp_path / "t.csv")).collect()}
     assert got["1"] == ("a|b", '{"k":1.0}', 'say "x",\nyes')
-    writers.write_document({"a": 1}, str(tmp_path / "d" / "m.json"))
+    writers.write_document(spark, {"a": 1}, str(tmp_path / "d" / "m.json"))
     assert json.loads((tmp_path / "d" / "m.json").read_text()) == {"a": 1}
     writers.write_parquet(df, str(tmp_path / "p"), ["i"])
     assert spark.read.parquet(str(tmp_path / "p")).count() == 2 and readers.read_files(spark, str(tmp_path / "d")).count() == 1
