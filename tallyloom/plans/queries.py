@@ -11,7 +11,7 @@ from tallyloom import constants as K
 from tallyloom.config import Keywords, MatchConfig
 from tallyloom.functions.amounts import allowance_price, country_block, match_probability, relative_difference
 from tallyloom.functions.text import case_code, clean_name, clean_plain, grant_id, has, json_fields, phrase_pattern, significant_tokens, with_flag
-from tallyloom.operators import consolidation, duplicates, enrichment, evidence, matching, reference, tables
+from tallyloom.operators import cases, consolidation, duplicates, enrichment, evidence, matching, reference, tables
 from tallyloom.plans.awards import AWARDS_SQL, awards, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,6 +106,15 @@ def tg3_group_instrument(spark, d):
     return tables.pivot(awards(spark, d), "parent_group", "financial_instrument_class")
 
 
+#: The nations of the test tables, which become columns.
+NATIONS = ["NATION_0", "NATION_1", "NATION_10", "NATION_11", "NATION_12", "NATION_13", "NATION_14", "NATION_15", "NATION_16", "NATION_17", "NATION_18", "NATION_19", "NATION_2", "NATION_20", "NATION_21", "NATION_22", "NATION_23", "NATION_24", "NATION_3", "NATION_4", "NATION_5", "NATION_6", "NATION_7", "NATION_8", "NATION_9"]
+
+
+@query(_pivot_sql("country", NATIONS))
+def tg4_group_country(spark, d):
+    return tables.pivot(awards(spark, d), "parent_group", "country")
+
+
 _SHARES = f""", sums AS (SELECT {{by}} AS name, CAST(sum(CAST(amount_eur AS DECIMAL(20,2))) AS DOUBLE) AS money FROM awards GROUP BY {{by}}),
 ranked AS (SELECT name, money, row_number() OVER (ORDER BY money DESC, name) AS rank, sum(money) OVER () AS total, count(*) OVER () AS n FROM sums)
 SELECT CAST(max(n) AS BIGINT) AS count, round(max(total), 2) AS total_eur, round(sum((money / total) * (money / total)) * 10000, 6) AS hhi,
@@ -367,6 +376,58 @@ def largest_awards(spark, d):
     return enrichment.largest(awards(spark, d), 60_000).select("source", "source_record_id", "amount_eur")
 
 
+@query(" SELECT source, count(*) AS rows, round(sum(amount_eur), 2) AS total_eur, count(*) FILTER (amount_eur > 50000) AS high_value_rows, round(sum(CASE WHEN amount_eur > 50000 THEN amount_eur ELSE 0 END), 2) AS high_value_eur FROM awards GROUP BY source")
+def unmatched_statistics(spark, d):
+    rows = enrichment.unmatched_statistics(awards(spark, d), 50_000)
+    return rows.withColumns({c: F.round(c, 2) for c in ("total_eur", "high_value_eur")})
+
+
+@query(", c AS (SELECT * FROM awards WHERE amount_eur > 80000) SELECT beneficiary_name AS matched_company, count(amount_eur) AS rows, round(sum(amount_eur), 2) AS total_eur FROM c GROUP BY 1 /* FROM awards */")
+def company_statistics(spark, d):
+    rows = awards(spark, d).filter("amount_eur > 80000").withColumn("matched_company", F.col("beneficiary_name"))
+    return enrichment.company_statistics(rows).withColumn("total_eur", F.round("total_eur", 2))
+
+
+@query(
+    """, p AS (SELECT *, source_record_id IN (SELECT source_record_id FROM awards WHERE source = 'FTS' AND amount_eur > 90000) AS known FROM awards WHERE source = 'FTS')
+SELECT count(*) AS rows, round(sum(amount_eur), 2) AS total_eur, count(*) FILTER (NOT known) AS unmatched_rows, round(sum(CASE WHEN known THEN 0 ELSE amount_eur END), 2) AS unmatched_eur, count(*) FILTER (known) AS matched_rows FROM p /* FROM awards */"""
+)
+def scan_totals(spark, d):
+    rows = awards(spark, d).filter("source = 'FTS'")
+    out = enrichment.scan_totals(rows, rows.filter("amount_eur > 90000"))
+    return out.select("rows", F.round("total_eur", 2).alias("total_eur"), "unmatched_rows", F.round("unmatched_eur", 2).alias("unmatched_eur"), "matched_rows")
+
+
+@query("SELECT o_orderkey, 'SA.' || CAST(o_orderkey AS VARCHAR) AS sa_code FROM orders WHERE o_orderpriority = '1-URGENT' UNION ALL SELECT o_orderkey, '' FROM orders WHERE o_orderpriority <> '1-URGENT'")
+def case_codes_of_rows(spark, d):
+    source = F.when(F.col("o_orderpriority") == "1-URGENT", "TAM").otherwise("FTS")
+    rows = table(spark, d, "orders").select("o_orderkey", source.alias("source"), F.concat(F.lit("SA."), F.col("o_orderkey").cast("string"), F.lit("(2018/X)")).alias("source_record_id"))
+    return cases.with_case_code(rows).select("o_orderkey", "sa_code")
+
+
+@query("SELECT DISTINCT 'SA.' || CAST(o_orderkey AS VARCHAR) AS sa_code FROM orders WHERE o_totalprice <= 100000")
+def unresolved_codes(spark, d):
+    orders = table(spark, d, "orders").withColumn("sa_code", F.concat(F.lit("SA."), F.col("o_orderkey").cast("string")))
+    return cases.unresolved(orders.select("sa_code"), orders.filter("o_totalprice > 100000").select(F.col("sa_code").alias("code")))
+
+
+@query(
+    """WITH spent AS (SELECT l_orderkey AS k, CAST(year(l_shipdate) AS INTEGER) AS y, CAST(sum(l_linenumber) AS DOUBLE) * 20000 AS eur FROM lineitem GROUP BY 1, 2)
+SELECT o_orderkey, CASE WHEN eur IS NULL OR eur <= 0 THEN 'no_data' WHEN o_totalprice / eur <= 1 THEN 'confirmed' WHEN o_totalprice / eur <= 2 THEN 'plausible' ELSE 'inconsistent' END AS amount_check
+FROM orders LEFT JOIN spent ON k = o_orderkey AND y = year(o_orderdate)"""
+)
+def amount_checks(spark, d):
+    spent = table(spark, d, "lineitem").groupBy(F.concat(F.lit("SA."), F.col("l_orderkey").cast("string")).alias("code"), F.year("l_shipdate").alias("year")).agg((F.sum("l_linenumber").cast("double") * 20000).alias("eur"))
+    rows = table(spark, d, "orders").select("o_orderkey", F.concat(F.lit("SA."), F.col("o_orderkey").cast("string")).alias("sa_code"), F.year("o_orderdate").alias("year"), F.col("o_totalprice").alias("amount_eur"))
+    return cases.amount_check(rows, spent).select("o_orderkey", "amount_check")
+
+
+@query(" SELECT match_type, count(*) AS rows, round(sum(amount_eur), 2) AS total_eur FROM (SELECT amount_eur, CASE WHEN year < 1995 THEN 'exact' ELSE 'fuzzy_high' END AS match_type FROM awards WHERE amount_eur > 10000) x GROUP BY match_type")
+def match_summary_by_type(spark, d):
+    rows = awards(spark, d).withColumns({"match_flag": F.col("amount_eur") > 10000, "match_type": F.when(F.col("year") < 1995, "exact").otherwise("fuzzy_high")})
+    return matching.match_summary(rows)["by_type"].withColumn("total_eur", F.round("total_eur", 2))
+
+
 @query("SELECT event_type, count(*) AS rows FROM events GROUP BY event_type")
 def value_counts(spark, d):
     return enrichment.value_counts(table(spark, d, "events"), "event_type")

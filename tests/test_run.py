@@ -60,6 +60,8 @@ def test_whole_run(spark, folder):
     assert {r.source for r in out["T1_by_source"].collect()} == {"KOHESIO", "CINEA", "TAM", "IPCEI_state_aid"}
     assert out["ets_matched_companies"].first().total_free_allowances == 15_000.0
     assert out["highvalue_analysis"].filter("source_record_id = 'f3'").first().match_probability == "low_nace_only"
+    stats = R.run_documents(out, RunConfig.load(str(folder / "config.json")))["enrichment_stats.json"]
+    assert stats["ets"]["rows"] == 1 and stats["fts_cordis"]["rows"] == 1
     assert {"TG1_groups", "headline", "concentration_groups", "fts_entity_candidates", "ipcei_matched_participants"} <= set(out)
 
 
@@ -71,7 +73,7 @@ def test_command_line(spark, folder, tmp_path, capsys):
     assert spark.read.parquet(str(tmp_path / "out" / "match_log.parquet")).count() >= 4
     measures = json.loads((tmp_path / "out" / "concentration_metrics.json").read_text())
     assert measures["entities"]["count"] >= 2 and set(measures) == {"entities", "groups"}
-    assert "by_source" in (tmp_path / "out" / "match_summary.txt").read_text() and json.loads((tmp_path / "out" / "enrichment_stats.json").read_text())
+    assert "by_source" in (tmp_path / "out" / "match_summary.txt").read_text() and json.loads((tmp_path / "out" / "enrichment_stats.json").read_text()) == {}
 
 
 def test_one_line_records_are_split(spark, tmp_path):
