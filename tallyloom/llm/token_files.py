@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import ensure_checkpoint_dir, table, text_slices
+from tallyloom.llm.common import discarded, ensure_checkpoint_dir, table, text_slices
 from tallyloom.llm.wordhash import bytes_of, hash_spans
 
 END_ID = 1
@@ -232,5 +232,6 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = f"{ensure_checkpoint_dir(spark)}/token-files-{uuid.uuid4().hex}"
     write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    discarded(spark, path)  # when the driver ends
     back = spark.read.schema(FILE_COLUMNS).parquet(path).select("doc_id", "part", "local_start", "ids")
     return _with_start(back.mapInArrow(_crc, "doc_id bigint, part int, local_start bigint, n_tokens bigint, ids_crc32 bigint")).select("doc_id", "start", "n_tokens", "ids_crc32")
