@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import sys
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -87,6 +90,21 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def lean(rows: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """rows, a function for mapInArrow, after whose last batch the worker gives freed memory back: workers outlive their tasks, and what they keep counts against their executor."""
+
+    @functools.wraps(rows)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from rows(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if sys.platform == "linux" and (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)):
+                trim(0)
+
+    return run
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batches, cut where the texts of a slice would exceed most_bytes; a longer text stands alone."""
     for batch in batches:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import table, text_slices, words_of, written
+from tallyloom.llm.common import lean, table, text_slices, words_of, written
 from tallyloom.llm.wordhash import Words, find_words, mix
 
 MASKS = ("111101", "110111")
@@ -176,7 +176,7 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     schema = kinds + ", n_equal bigint, n_window bigint, doc_word bigint, item_word bigint"
     rows, out = docs.select("doc_id", F.col("text").cast("string").alias("text")), None
     for block in blocks_of(items):
-        part = rows.mapInArrow(_reporter(docs.sparkSession.sparkContext.broadcast(block)), schema)
+        part = rows.mapInArrow(lean(_reporter(docs.sparkSession.sparkContext.broadcast(block))), schema)
         out = part if out is None else out.unionByName(part)
     if out is None:
         return docs.sparkSession.createDataFrame([], schema)
@@ -198,7 +198,7 @@ def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of docs, all columns, whose text overlaps with no item. What one block leaves is written before the next one's turn, so no task holds two."""
     out = docs
     for k, block in enumerate(blocks_of(items)):
-        out = (written(out, "unleaked") if k else out).mapInArrow(_sieve(docs.sparkSession.sparkContext.broadcast(block)), docs.schema)
+        out = (written(out, "unleaked") if k else out).mapInArrow(lean(_sieve(docs.sparkSession.sparkContext.broadcast(block))), docs.schema)
     return out
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from tallyloom.llm.common import checkpointed, table, text_slices
+from tallyloom.llm.common import checkpointed, lean, table, text_slices
 from tallyloom.llm.wordhash import mix
 
 SAMPLE, LEAST = 20_000, 500
@@ -86,7 +86,7 @@ def train(docs: DataFrame, sample: int = SAMPLE, least: int = LEAST) -> Model:
         return NOTHING
     shares = {lang: max(sample / total, least / n) for lang, n in known.items()}
     picked = rows.filter(_picked(shares)) if min(shares.values()) < 1 else rows
-    counts = checkpointed(picked.select("lang", "text").mapInArrow(_count, "lang string, slot int, n bigint").groupBy("lang", "slot").agg(F.sum("n").alias("n"))).toArrow()
+    counts = checkpointed(picked.select("lang", "text").mapInArrow(lean(_count), "lang string, slot int, n bigint").groupBy("lang", "slot").agg(F.sum("n").alias("n"))).toArrow()
     if not counts.num_rows:
         if picked is not rows:
             raise RuntimeError(f"no letter in the sample of {total} labelled documents")
@@ -235,7 +235,7 @@ def annotate(docs: DataFrame, model: Model) -> DataFrame:
             yield _decide(waiting, m)
 
     schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("lang_score", DoubleType())])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def _decide(waiting: list[tuple], m: Model) -> pa.RecordBatch:

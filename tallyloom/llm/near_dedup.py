@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import checkpointed, meet, table, text_slices, written
+from tallyloom.llm.common import checkpointed, lean, meet, table, text_slices, written
 from tallyloom.llm.components import components
 from tallyloom.llm.wordhash import find_words, grams, mix, signed
 
@@ -295,7 +295,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def _sketch(rows: DataFrame, shingle: int) -> DataFrame:
     """Set size, set hashes and signature of each row, with node, the hash that its class goes by (null without a set)."""
-    sketch = checkpointed(rows.mapInArrow(_sketcher(shingle), "doc_id bigint, th bigint, n bigint, set1 bigint, set2 bigint, sig binary"))
+    sketch = checkpointed(rows.mapInArrow(lean(_sketcher(shingle)), "doc_id bigint, th bigint, n bigint, set1 bigint, set2 bigint, sig binary"))
     return sketch.withColumn("node", F.when(F.col("n") > 0, F.xxhash64("n", "set1", "set2")))
 
 
@@ -362,14 +362,14 @@ def _roots(rows: DataFrame, classes: DataFrame, shingle: int, percent: int, more
     """node and root of all classes that links of full sets, and the links more, join with others."""
     if percent < 80:
         raise ValueError("the signatures are made for a similarity of 0.8 or more")
-    spelled = classes.filter("n >= 4").select("node", "sig").mapInArrow(_spell, "node bigint, keys array<bigint>")
+    spelled = classes.filter("n >= 4").select("node", "sig").mapInArrow(lean(_spell), "node bigint, keys array<bigint>")
     dealt = spelled.select(F.explode("keys").alias("key"), "node").repartition("key").sortWithinPartitions("key", F.xxhash64("node", F.pmod("key", F.lit(LEADS))))
-    buckets = written(dealt.mapInArrow(_runs, "key bigint, node bigint, lead bigint, many boolean"), "buckets")
+    buckets = written(dealt.mapInArrow(lean(_runs), "key bigint, node bigint, lead bigint, many boolean"), "buckets")
     sized = classes.select("node", "n", "sig")
     a, b = (sized.select(*(F.col(c).alias(f"{c}_{x}" if c != "node" else x) for c in sized.columns)) for x in "ab")
     stars = buckets.filter("node <> lead").select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct()
     fit = stars.join(a, "a").join(b, "b").filter(_fits(F.col("n_a"), F.col("n_b"), percent))
-    near = fit.select("a", "b", "sig_a", "sig_b").mapInArrow(_near, "a bigint, b bigint")
+    near = fit.select("a", "b", "sig_a", "sig_b").mapInArrow(lean(_near), "a bigint, b bigint")
     groups = components(near)
     bridges = checkpointed(_between_groups(buckets, sized, groups))
     if not bridges.isEmpty():
@@ -402,7 +402,7 @@ def _between_groups(buckets: DataFrame, sized: DataFrame, groups: DataFrame) ->
     else:
         mixed = grouped.join(split.select("key", "size"), "key").join(sized, "node").withColumnRenamed("key", "place")
         tiles = _tiled(mixed, "place", F.ceil(F.col("size") / BLOCK), "group", "n", "sig")
-    return tiles.mapInArrow(_bridges, "a bigint, b bigint")
+    return tiles.mapInArrow(lean(_bridges), "a bigint, b bigint")
 
 
 def _links(docs: DataFrame, classes: DataFrame, groups: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -412,8 +412,8 @@ def _links(docs: DataFrame, classes: DataFrame, groups: DataFrame, shingle: int,
     blocks = F.greatest(F.least(F.ceil(F.col("size") / SET_BLOCK), F.lit(MOST_BLOCKS)), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
     placed = meet(known.select("node", "group", "did", "th"), written(sizes.select("group", blocks.alias("cuts"), F.col("size").alias("n")), "cuts"), ["group"])
     texts = docs.select("text", _did(), "th").join(known.select("node", "did", "th"), ["did", "th"]).select("node", "text")
-    sets = texts.mapInArrow(_sets(shingle), "node bigint, set array<bigint>")
-    return _tiled(sets.join(placed.select("node", "group", "cuts"), "node"), "group", F.col("cuts"), "set").mapInArrow(_verifier(percent), "a bigint, b bigint")
+    sets = texts.mapInArrow(lean(_sets(shingle)), "node bigint, set array<bigint>")
+    return _tiled(sets.join(placed.select("node", "group", "cuts"), "node"), "group", F.col("cuts"), "set").mapInArrow(lean(_verifier(percent)), "a bigint, b bigint")
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

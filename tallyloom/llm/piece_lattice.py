@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import table, text_slices
+from tallyloom.llm.common import lean, table, text_slices
 from tallyloom.llm.wordhash import mix
 
 MARK = "▁"
@@ -39,6 +39,8 @@ _FACTOR = 0x9E3779B97F4A7C15
 _NONE = np.int64(-(1 << 60))
 #: Stands for a mark that the text holds itself.
 _OWN_MARK = 0x110000
+#: Powers are added by so many.
+_POWERS = 1 << 17
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -46,7 +48,7 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the factor and of its inverse, modulo 2**64."""
     if len(_powers[0]) < n:
         for i, base in enumerate((_FACTOR, pow(_FACTOR, -1, 1 << 64))):
-            steps = np.full(2 * n, base, np.uint64)
+            steps = np.full(-(-n // _POWERS) * _POWERS, base, np.uint64)
             steps[0] = 1
             _powers[i] = np.multiply.accumulate(steps)
     return _powers[0][:n], _powers[1][:n]
@@ -367,7 +369,7 @@ def encode_nbest(docs: DataFrame, model_file: str, n: int = BEST, with_ids: bool
     """
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_pieces bigint, ids_crc32 bigint, scores array<double>, round_trip boolean"
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_encoder(model_file, n, with_ids), schema + (f", ids array<int>, changes array<{CHANGE}>" if with_ids else ""))
+    return rows.mapInArrow(lean(_encoder(model_file, n, with_ids)), schema + (f", ids array<int>, changes array<{CHANGE}>" if with_ids else ""))
 
 
 def decode_ids(rows: DataFrame, model_file: str) -> DataFrame:
@@ -379,7 +381,7 @@ def decode_ids(rows: DataFrame, model_file: str) -> DataFrame:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([_lattices[model_file].decode(x or []) for x in batch.column("ids").to_pylist()], pa.string())], ["doc_id", "text"])
 
-    return rows.select("doc_id", "ids").mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text string")
+    return rows.select("doc_id", "ids").mapInArrow(lean(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text string")
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
