@@ -12,16 +12,19 @@ def components(edges: DataFrame) -> DataFrame:
     """node and root, the smallest node reachable, for each node of edges (a, b) that isn't its own root.
 
     Each round joins edges to the smallest neighbour of a node, never nodes of a group to each other, and is written
-    to the checkpoint folder. A node that many edges share is split among tasks. Rounds grow with the logarithm of the longest path. Null ends and loops are left out.
+    to the checkpoint folder. A node that many edges share is split among tasks. Rounds grow with the logarithm of the longest path; a sum by
+    node tells whether another is needed. Null ends and loops are left out.
     """
     now = checkpointed(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    before = None
-    while True:
-        sums = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(sums) == before:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before = tuple(sums)
+    while not _settled(now):
         now = checkpointed(_small_star(_large_star(now)))
+    return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Whether each node that an edge leads down from has that edge alone, so that all edges lead to a smallest node."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("down"), F.lit(0).alias("up")).union(edges.select("v", F.lit(0), F.lit(1)))
+    return ends.groupBy("x").agg(F.sum("down").alias("down"), F.sum("up").alias("up")).filter("down > 0 AND down + up > 1").isEmpty()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:

@@ -151,6 +151,17 @@ def test_components(spark):
     assert got == {x: find(x) for x in root if x is not None and find(x) != x}
 
 
+@pytest.mark.parametrize(("edges", "rounds"), [([], 0), ([(1, 2), (1, 3), (5, 4), (2, 1)], 0), ([(1, 2), (2, 3)], 1), ([(3, 1), (3, 2)], 1)])
+def test_rounds_of_components(spark, monkeypatch, edges, rounds):
+    from tallyloom.llm import components as C
+
+    large, taken = C._large_star, []
+    monkeypatch.setattr(C, "_large_star", lambda now: taken.append(1) or large(now))
+    got = {(r.node, r.root) for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert len(taken) == rounds
+    assert got == {0: {(2, 1), (3, 1), (5, 4)} if edges else set(), 1: {(2, 1), (3, 1)}}[rounds]
+
+
 def test_one_id_on_several_texts(spark):
     a, b, c = (" ".join(f"{x}{i}" for i in range(20)) for x in "abc")
     rows = [(1, a), (5, a), (5, b), (7, b), (9, c), (9, b + " more"), (11, c)]
