@@ -1,8 +1,15 @@
+import os
+import random
+import re
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
+from tallyloom.functions.lineage import settled, shared_folder
 from tallyloom.operators import consolidation as C
 from tallyloom.operators import duplicates as D
+from tallyloom.plans.run import consolidate
 
 ROWS = "source string, source_record_id string, match_reference_name string, country string, year string, amount_eur double, programme string, fund string, entity_name_clean string, match_type string, sa_cofin_level string, sa_cofin_fund string, ord bigint"
 
@@ -135,3 +142,46 @@ def test_integration(spark):
     stats = C.integration_stats(parts, spark.createDataFrame([(3.0,)], "total_eur_free double"))
     assert stats["fts_cordis"] == {"rows": 3, "eur": 15.0} and stats["ets"]["eur"] == 3.0
     assert parts["combined"].filter(F.col("source") == "ETS").count() == 0
+
+
+def _held(spark):
+    """Bytes in the shared folder."""
+    return sum(p.stat().st_size for p in Path(shared_folder(spark).removeprefix("file:")).rglob("*") if p.is_file())
+
+
+def test_consolidation_writes_its_rows_once(spark):
+    rows = [(*row(i, ("TAM", "KOHESIO", "RRF", "IPCEI_state_aid")[i % 4], f"r{i}", ref=f"A{i % 7}"), os.urandom(10_000).hex(), "entity_name", "x") for i in range(200)]
+    df = spark.createDataFrame(rows, f"{ROWS}, description string, match_matched_on string, beneficiary_name string")
+    before = _held(spark)
+    out = consolidate(df.withColumns({"financial_instrument_class": F.lit("grant"), "unknown": F.lit(None)}))
+    assert out.count() == 200 and out.filter("dc_flag <> ''").count() > 0 and out.filter("unknown IS NULL AND length(description) = 20000").count() == 200
+    assert _held(spark) - before < 2 * 200 * 20_000  # each rule wrote all columns before
+
+
+@pytest.mark.parametrize("given", [True, False])
+def test_last_partner_of_large_groups(spark, given):
+    rng = random.Random(5)
+    rows = [row(i, rng.choice(("TAM", "KOHESIO")), f"r{i // 2}", ref=rng.choice("AB"), country=rng.choice(("DE", None)), year=rng.choice(("2015", "2018", "2020", None)), amount=rng.choice((1.0, 40.0, 100.0, 5000.0, None))) for i in range(400)]
+    df = spark.createDataFrame(rows, ROWS)
+    df = D.with_marks(df if given else df.drop("ord"))
+    pairs = D.cofinancing_pairs(df, "KOHESIO")
+    hits = D._last_partner(pairs, df)
+    assert re.search(r"HashAggregate\(keys=\[id_a#\d+, ord_a#\d+L?\], functions=\[partial_max\(ord_b", hits._jdf.queryExecution().executedPlan().toString())  # pairs aren't sorted
+    got = {r.id: r.partner for r in hits.collect()}
+    want = {}
+    data = df.collect()
+    near = lambda a, b: a.year is None or b.year is None or abs(int(a.year) - int(b.year)) <= 2
+    for a in data:
+        for b in data:
+            if (a.source, b.source) == ("TAM", "KOHESIO") and (a.match_reference_name, a.country) == (b.match_reference_name, b.country) and near(a, b) and a.amount_eur and b.amount_eur and 0.01 <= b.amount_eur / a.amount_eur <= 1.5:
+                want[a.source_record_id] = max(want.get(a.source_record_id, ()), (a.ord, b.ord, b.source_record_id))
+    assert got == {k: v[2] for k, v in want.items()} and len(got) > 20
+
+
+def test_settled_keeps_what_it_gets(spark):
+    df = spark.sql("SELECT 1 AS `a b`, NULL AS none, map('k', 2) AS m, named_struct('h', 3L) AS s, CAST('NaN' AS DOUBLE) AS n, TIMESTAMP '1850-01-01 00:00:00' AS t, 'x' AS `c,;{}.d`")
+    kept = settled(df)
+    assert kept.dtypes == df.dtypes and str(kept.collect()) == str(df.collect())
+    twice = spark.sql("SELECT 1 AS a, 2 AS A")
+    assert settled(twice).collect() == [(1, 2)]
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
