@@ -11,13 +11,14 @@ from tallyloom.llm.common import checkpointed, meet, written
 def components(edges: DataFrame) -> DataFrame:
     """node and root, the smallest node reachable, for each node of edges (a, b) that isn't its own root.
 
-    Each round joins edges to the smallest neighbour of a node, never nodes of a group to each other, and is written
+    Each star joins edges to the smallest neighbour of a node, one row out for a row in, never nodes of a group to each other, and is written
     to the checkpoint folder. A node that many edges share is split among tasks. Rounds grow with the logarithm of the longest path; a sum by
     node tells whether another is needed. Null ends and loops are left out.
     """
     now = checkpointed(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     while not _settled(now):
-        now = checkpointed(_small_star(_large_star(now)))
+        large = checkpointed(_large_star(now))  # the small star asks for it twice
+        now = checkpointed(_small_star(large))
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 

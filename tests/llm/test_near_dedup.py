@@ -162,6 +162,17 @@ def test_rounds_of_components(spark, monkeypatch, edges, rounds):
     assert got == {0: {(2, 1), (3, 1), (5, 4)} if edges else set(), 1: {(2, 1), (3, 1)}}[rounds]
 
 
+def test_each_large_star_is_computed_once(spark, monkeypatch):
+    from tallyloom.llm import components as C
+
+    small, plans = C._small_star, []
+    monkeypatch.setattr(C, "_small_star", lambda large: plans.append(large._jdf.queryExecution().optimizedPlan().toString()) or small(large))
+    hub = [(0, i) for i in range(1, 300)] + [(i, i + 300) for i in range(1, 300)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(hub, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(1, 600) if i != 300}
+    assert plans and not any("Join" in p for p in plans)  # the small star reads it twice
+
+
 def test_one_id_on_several_texts(spark):
     a, b, c = (" ".join(f"{x}{i}" for i in range(20)) for x in "abc")
     rows = [(1, a), (5, a), (5, b), (7, b), (9, c), (9, b + " more"), (11, c)]
